@@ -220,12 +220,22 @@ FROM spans WINDOW w AS (PARTITION BY indiv_id, FILTER_LEVEL, rtl_divn_nbr, {LABE
 
 @query("lifecycle_total", f"WITH {_days_sql('indiv_id')} {TOTAL_SQL}")
 def lifecycle_total(spark, sf):
+    return job.lifecycle_total(sales(spark, sf), RUN_DATE)
+
+
+@query("lifecycle_total_ordered", f"WITH {_days_sql('indiv_id')} {TOTAL_SQL} ORDER BY {', '.join(job.TOTAL_ORDER)}")
+def lifecycle_total_ordered(spark, sf):
     return job.lifecycle_total(sales(spark, sf), RUN_DATE, ordered=True)
 
 
-@query("lifecycle_total_daily_form", f"WITH {_days_sql('indiv_id')} {TOTAL_SQL}")
-def lifecycle_total_daily_form(spark, sf):
-    return job.lifecycle_total(sales(spark, sf), RUN_DATE, form="daily", ordered=True)
+@query("lifecycle_total_daily", f"WITH {_days_sql('indiv_id')} {TOTAL_SQL}")
+def lifecycle_total_daily(spark, sf):
+    return job.lifecycle_total(sales(spark, sf), RUN_DATE, form="daily")
+
+
+@query("lifecycle_total_staged", f"WITH {_days_sql('indiv_id')} {TOTAL_SQL}")
+def lifecycle_total_staged(spark, sf):
+    return job.lifecycle_total(sales(spark, sf), RUN_DATE, form="staged")
 
 
 @query(
@@ -237,7 +247,7 @@ FROM labelled GROUP BY day, {LABELS}""",
 )
 def lifecycle_days(spark, sf):
     """Customers by day and labels, over the whole day table."""
-    days = job.daily_labels(total_tx(spark, sf), job.TOTAL_KEYS, RUN_DATE)
+    days = job.day_table(total_tx(spark, sf), job.TOTAL_KEYS, RUN_DATE)
     return days.groupBy("greg_date", *job.LABELS).agg(
         F.count(F.lit(1)).alias("customers"),
         F.min("last_purchase_dt_total").alias("oldest_total"),
@@ -251,6 +261,14 @@ DIVISION_DAYS = _days_sql("indiv_id, pdiv_id, rtl_divn_nbr")
 
 @query("lifecycle_division", f"WITH {DIVISION_DAYS}, {NAMED_SQL} {DIVISION_SQL}")
 def lifecycle_division(spark, sf):
+    return job.lifecycle_division(sales(spark, sf), RUN_DATE)
+
+
+@query(
+    "lifecycle_division_ordered",
+    f"WITH {DIVISION_DAYS}, {NAMED_SQL} {DIVISION_SQL} ORDER BY {', '.join(job.DIVISION_ORDER)}",
+)
+def lifecycle_division_ordered(spark, sf):
     return job.lifecycle_division(sales(spark, sf), RUN_DATE, ordered=True)
 
 

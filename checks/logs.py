@@ -181,13 +181,12 @@ def role_join(spark, sf):
 # --- numbering and uniqueness --------------------------------------------------------------------
 
 
-@query(
-    "first_engaged_rank",
-    """SELECT l_suppkey, l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_partkey,
+RANK_SQL = """SELECT l_suppkey, l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_partkey,
   row_number() OVER (PARTITION BY l_suppkey, l_returnflag
-    ORDER BY l_shipdate ASC NULLS LAST, l_orderkey, l_linenumber, l_partkey) AS first_rank FROM lineitem""",
-)
-def first_engaged_rank(spark, sf):
+    ORDER BY l_shipdate ASC NULLS LAST, l_orderkey, l_linenumber, l_partkey) AS first_rank FROM lineitem"""
+
+
+def _first_rank(spark, sf, **options):
     lines = read(spark, sf, "lineitem").select(
         "l_suppkey", "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"
     )
@@ -197,9 +196,21 @@ def first_engaged_rank(spark, sf):
         ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
         "first_rank",
         split=[F.date_trunc("month", "l_shipdate"), F.col("l_shipdate")],
+        **options,
     )
 
 
+@query("first_engaged_rank", RANK_SQL)
+def first_engaged_rank(spark, sf):
+    return _first_rank(spark, sf)
+
+
+@query("first_engaged_rank_sliced", RANK_SQL)
+def first_engaged_rank_sliced(spark, sf):
+    """As above with a low limit, so that most groups are numbered slice by slice."""
+    return _first_rank(spark, sf, big=200)
+
+
 @query(
     "granularity_check",
     "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1",

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.functions.dates import OPEN_END, month_boundaries
+from tablejobs.functions.text import all_of
+
+# Rows of one group that a single task may sort.
+BIG_GROUP = 1_000_000
 
 DEDUP_MODES = ("row_number", "rank", "none")
 
@@ -118,8 +122,13 @@ def running_range(
     )
 
 
-def _nulls_last(column: Column) -> Column:
-    return F.struct(column.isNull().alias("absent"), column.alias("value"))
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """The columns equal their prefixed twins; NULL equals NULL, as it does in a window's groups."""
+    return all_of([F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns])
+
+
+def _prefixed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
 
 
 def number_rows(
@@ -128,51 +137,71 @@ def number_rows(
     order: Sequence[str],
     name: str,
     split: Sequence[Column] = (),
+    big: int = BIG_GROUP,
 ) -> DataFrame:
     """ROW_NUMBER of every row in its group, ascending with NULLs last, as column `name`.
 
-    Every row keeps its number, so a big group cannot be cut down before it is sorted. `split` cuts it
-    instead: each entry is a column that never falls while the order rises (a day of a leading date, an
-    hour of a timestamp). Rows are numbered inside the slices, and the sizes of the earlier slices,
-    counted by a map-side aggregate, are added. Slices are nested, first entry outermost.
+    Every row keeps its number, so a group cannot be cut down before it is sorted. Groups of more than
+    `big` rows are therefore cut into slices by `split`: columns that never fall while the order rises
+    (the day of a leading date, the hour of a timestamp), outermost first. Their rows are numbered
+    inside the slices, and the sizes of the earlier slices are added. The sizes come from a map-side
+    aggregate. The list of big groups has at most (rows / `big`) entries, which makes it fit for a
+    broadcast; all other groups take the plain window.
     """
     sort = [F.col(c).asc_nulls_last() for c in order]
+
+    def number(partition: Sequence[str]) -> Column:
+        return F.row_number().over(Window.partitionBy(*partition).orderBy(*sort)).cast("long")
+
     if not split:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*sort)).cast("long"))
-
-    # NULL keys form a group of their own here, as they do in a window.
-    levels = [F.struct(*[F.col(k) for k in keys])]
-    for column in split:
-        levels.append(F.struct(levels[-1].alias("outer"), _nulls_last(column).alias("slice")))
-    sliced = df.withColumn("__slice", levels[-1])
-    sizes = sliced.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
-
-    def before(sizes: DataFrame) -> Column:
-        window = (
-            Window.partitionBy("__slice.outer")
-            .orderBy("__slice.slice")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return F.coalesce(F.sum("__n").over(window), F.lit(0))
-
-    def shifts(sizes: DataFrame, depth: int) -> DataFrame:
-        """Rows of the same group that lie in earlier slices, for every slice of this depth."""
-        if depth == 1:
-            return sizes.select("__slice", before(sizes).alias("__before"))
-        outer = sizes.groupBy(F.col("__slice.outer").alias("__slice")).agg(F.sum("__n").alias("__n"))
-        outer_shift = shifts(outer, depth - 1).select(
-            F.col("__slice").alias("__outer"), F.col("__before").alias("__outer_before")
+        return df.withColumn(name, number(keys))
+
+    keys = list(keys)
+    slices = [f"__slice{i}" for i in range(len(split))]
+    sliced = df.withColumns(dict(zip(slices, split)))
+    sizes = sliced.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("__n"))
+    big_groups = F.broadcast(
+        _prefixed(
+            sizes.groupBy(*keys).agg(F.sum("__n").alias("__n")).filter(F.col("__n") > big).select(*keys), keys, "__big_"
         )
-        inner = sizes.select(
-            "__slice", F.col("__slice.outer").alias("__outer"), before(sizes).alias("__inner_before")
+    )
+    in_big = _same(keys, "__big_")
+
+    before = _rows_before(sizes.join(big_groups, in_big, "left_semi"), keys, slices)
+    from_slices = (
+        sliced.join(big_groups, in_big, "left_semi")
+        .withColumn("__number", number([*keys, *slices]))
+        .join(_prefixed(before, [*keys, *slices], "__size_"), _same([*keys, *slices], "__size_"))
+        .withColumn(name, F.col("__number") + F.col("__before"))
+    )
+    plain = df.join(big_groups, in_big, "left_anti").withColumn(name, number(keys))
+    return plain.unionByName(from_slices.select(*df.columns, name))
+
+
+def _rows_before(sizes: DataFrame, keys: list[str], slices: list[str]) -> DataFrame:
+    """Rows of the same group in earlier slices, for each innermost slice.
+
+    Each level adds up the slices before it inside its parent only, so a window never holds more than
+    the slices of one parent.
+    """
+    known = None
+    for depth in range(len(slices)):
+        parent, here = [*keys, *slices[:depth]], slices[depth]
+        earlier = (
+            Window.partitionBy(*parent)
+            .orderBy(F.col(here).asc_nulls_last())
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
-        return inner.join(outer_shift, "__outer").select(
-            "__slice", (F.col("__inner_before") + F.col("__outer_before")).alias("__before")
+        level = (
+            sizes.groupBy(*parent, here)
+            .agg(F.sum("__n").alias("__n"))
+            .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+            .drop("__n")
         )
-
-    inside = Window.partitionBy("__slice").orderBy(*sort)
-    return (
-        sliced.join(shifts(sizes, len(split)), "__slice")
-        .withColumn(name, (F.row_number().over(inside) + F.col("__before")).cast("long"))
-        .drop("__slice", "__before")
-    )
+        if known is not None:
+            outer = _prefixed(known, [*parent, "__before"], "__outer_")
+            level = level.join(outer, _same(parent, "__outer_")).select(
+                *parent, here, (F.col("__before") + F.col("__outer___before")).alias("__before")
+            )
+        known = level
+    return known

@@ -1,6 +1,6 @@
 """Customer lifecycle labels as date ranges.
 
-Two forms give the same rows.
+Three forms give the same rows.
 
 * `segment` (default) never builds the customer × day table. A label can only change on a purchase
   day, on the day after it, and on the first day of the months in which a latest purchase turns 13 and
@@ -8,7 +8,9 @@ Two forms give the same rows.
   The job shuffles twice: once to reduce transactions to purchase days (map-side), once to bring a
   customer's purchase days together. A customer has at most one row per day (and product division), so
   a customer with any number of transactions fits one task.
-* `daily` goes through the day table stage by stage and serves those who need that table.
+* `daily` spreads those spans over their days, inside each row, for those who need the day table.
+* `staged` builds the day table the long way round: every customer with every day, joined to three
+  tables of purchase intervals, labelled, and cut to one row a day. Its stages can be used singly.
 """
 
 from __future__ import annotations
@@ -201,7 +203,13 @@ def label_segments(tx: DataFrame, keys: Sequence[str], run_date: DateLike = None
     )
 
 
-# --- daily form ----------------------------------------------------------------------------------
+def day_table(tx: DataFrame, keys: Sequence[str], run_date: DateLike = None) -> DataFrame:
+    """One labelled row per key and day from the first purchase to the run date, as `greg_date`."""
+    days = F.explode(F.sequence("seg_start", "seg_end"))
+    return label_segments(tx, keys, run_date).withColumn("greg_date", days).drop("seg_start", "seg_end")
+
+
+# --- staged form ---------------------------------------------------------------------------------
 
 
 def _channel_columns(intervals: DataFrame, suffix: str, keys: Sequence[str]) -> DataFrame:
@@ -258,10 +266,10 @@ def pick_daily(labelled: DataFrame, keys: Sequence[str] = TOTAL_KEYS) -> DataFra
     return pick_first(labelled, [*keys, "greg_date"], [f"{c} desc" for c in LAST_DAYS])
 
 
-def daily_labels(
+def staged_days(
     tx: DataFrame, keys: Sequence[str], run_date: DateLike = None, lookback_days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    """The day table: one labelled row per key and day from the first purchase to the run date."""
+    """The rows of `day_table`, by the single stages."""
     rolled = roll_up(
         customer_spine(tx, run_date, lookback_days),
         purchase_intervals(tx, keys),
@@ -284,13 +292,17 @@ def lifecycle_ranges(
     lookback_days: int = LOOKBACK_DAYS,
     form: str = "segment",
 ) -> DataFrame:
-    """Labelled rows with `seg_start` and `seg_end`, by either form; in the daily form each is one day."""
+    """Labelled rows with `seg_start` and `seg_end`; in the forms by day each row is one day."""
     if form == "segment":
         return label_segments(tx, keys, run_date)
     if form == "daily":
-        day = F.col("greg_date")
-        return daily_labels(tx, keys, run_date, lookback_days).withColumns({"seg_start": day, "seg_end": day}).drop(day)
-    raise ValueError(f"form must be 'segment' or 'daily', not {form!r}")
+        days = day_table(tx, keys, run_date)
+    elif form == "staged":
+        days = staged_days(tx, keys, run_date, lookback_days)
+    else:
+        raise ValueError(f"form must be 'segment', 'daily' or 'staged', not {form!r}")
+    day = F.col("greg_date")
+    return days.withColumns({"seg_start": day, "seg_end": day}).drop("greg_date")
 
 
 def lifecycle_total(

@@ -28,8 +28,11 @@ def parse_report(df: DataFrame, column: str) -> DataFrame:
 
 
 def _entries(df: DataFrame, column: str) -> DataFrame:
+    # The outer form keeps Spark from parsing the JSON once more to test for empty maps.
     rest = [c for c in df.columns if c not in ("test_case_report", "adf_run_details")]
-    return df.select(*rest, F.explode(column).alias("__key", "__value"))
+    return df.select(*rest, F.explode_outer(column).alias("__key", "__value")).filter(
+        F.col("__key").isNotNull()
+    )
 
 
 def _rest(df: DataFrame) -> list[str]:
