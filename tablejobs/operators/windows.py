@@ -142,10 +142,10 @@ def number_rows(
     """ROW_NUMBER of every row in its group, ascending with NULLs last, as column `name`.
 
     Every row keeps its number, so a group cannot be cut down before it is sorted. Groups of more than
-    `big` rows are therefore cut into slices by `split`: columns that never fall while the order rises
-    (the day of a leading date, the hour of a timestamp), outermost first. Their rows are numbered
-    inside the slices, and the sizes of the earlier slices are added. The sizes come from a map-side
-    aggregate. The list of big groups has at most (rows / `big`) entries, which makes it fit for a
+    `big` rows are therefore cut into slices by `split`, outermost first. Among rows that agree on the
+    slices before it, a slice must never fall while the order rises: the day of the leading date, then
+    that date itself, then a range of the next order column. Rows are numbered inside the innermost
+    slices, and the sizes of the earlier slices are added. The sizes come from a map-side aggregate. The list of big groups has at most (rows / `big`) entries, which makes it fit for a
     broadcast; all other groups take the plain window.
     """
     sort = [F.col(c).asc_nulls_last() for c in order]

@@ -62,7 +62,7 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
     """Legal contact rows from snapshots.
 
     Every contact of a claim and subcategory gets a number, so a group cannot be cut down before it is
-    sorted; it is sliced by day, hour and id range instead. The numbers depend on the two inner joins only and
+    sorted; a big one is sliced by day, hour, time and id range. The numbers depend on the two inner joins only and
     are given before the two lookups are joined.
     """
     require_tables(ds, [short_name(t.name) for t in TABLES])
@@ -87,6 +87,7 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
         split=[
             F.col("aDateEngaged"),
             F.date_trunc("hour", "_timestamp"),
+            F.col("_timestamp"),
             F.floor(F.col("oid_instid") / IDS_PER_SLICE),
         ],
     )
