@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import importlib
 import json
-import os
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -12,6 +11,7 @@ from typing import Any, Protocol
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,19 +94,24 @@ class CellClient(Protocol):
 
 
 class FolderClient:
-    """Client that keeps every batch as a Parquet file in the shared folder `path`.
+    """Client that keeps every batch as a Parquet file in the shared folder `path`, a path or a URI.
 
-    Files of repeated tasks repeat cells of the same version, which `latest_cells` resolves.
+    A file gets its name once it is complete; until then Spark's readers do not see it. Files of
+    repeated tasks repeat cells of the same version, which `latest_cells` resolves.
     """
 
     def __init__(self, options: Mapping[str, str]):
-        self.path = options["path"]
-        os.makedirs(self.path, exist_ok=True)
+        path = options["path"]
+        if "://" in path:
+            self.files, self.folder = fs.FileSystem.from_uri(path)
+        else:
+            self.files, self.folder = fs.LocalFileSystem(), path.removeprefix("file:")
+        self.files.create_dir(self.folder, recursive=True)
 
     def write(self, batch: pa.RecordBatch) -> None:
-        name = os.path.join(self.path, f"cells-{uuid.uuid4().hex}.parquet")
-        pq.write_table(pa.Table.from_batches([batch]), f"{name}.tmp")
-        os.replace(f"{name}.tmp", name)
+        name = f"{uuid.uuid4().hex}.parquet"
+        pq.write_table(pa.Table.from_batches([batch]), f"{self.folder}/_{name}", filesystem=self.files)
+        self.files.move(f"{self.folder}/_{name}", f"{self.folder}/cells-{name}")
 
     def close(self) -> None:
         pass
