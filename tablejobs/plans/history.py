@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablejobs.operators.joins import Edge, require_tables, star_join
+from tablejobs.functions.text import empty
+from tablejobs.operators.joins import HALVES, Edge, require_tables, star_join
 from tablejobs.sources.snapshots import NOT_DELETED, TableSpec, load_snapshots, log_table, reader_of, short_name
 
 # Input tables with the columns the job reads. Processes come from a second database.
@@ -29,24 +30,24 @@ LOG_TABLES = (
 )
 
 PROCESS_TABLE = "dl_TIMWflProcess"
-PROCESS_CLAIM = Edge("claim", "dl_TIMPolicyClaim", "process.myClaim", "claim.oid", "inner")
-ACTIVITY_EDGES = (
-    PROCESS_CLAIM,
-    Edge("activity", "dl_TIMWflActivity", "process.oid", "activity.myWflProcess", "inner"),
-    Edge("change", "dl_CONWflForwardHistoryUpdate", "activity.oid", "change.myHistoriedComponent", "inner"),
-    Edge("author", "dl_TIMContactTypeUser", "change.myCreatedBy", "author.oid"),
+
+# What only one kind of change is joined to, and what both are.
+REFERRAL_EDGES = (
+    Edge("activity", "dl_TIMWflActivity", "change.myHistoriedComponent", "activity.oid", "inner"),
     Edge("reason", "dl_CONWflReferralChangeReason", "change.myChangeReason", "reason.oid"),
 )
-PROCESS_EDGES = (
-    PROCESS_CLAIM,
-    Edge("change", "dl_CONWflStateHistoryUpdate", "process.oid", "change.myHistoriedComponent", "inner"),
-    Edge("author", "dl_TIMContactTypeUser", "change.myCreatedBy", "author.oid"),
+STATE_EDGES = (
     Edge("old_state", "dl_CONWflProcessState", "change.myPreviousState", "old_state.oid"),
     Edge("new_state", "dl_CONWflProcessState", "change.myNewState", "new_state.oid"),
     Edge("reason", "dl_CONWflStateChangeReason", "change.myChangeReason", "reason.oid"),
 )
+COMMON_EDGES = (
+    Edge("process", PROCESS_TABLE, "change.myProcess", "process.oid", "inner"),
+    Edge("claim", "dl_TIMPolicyClaim", "process.myClaim", "claim.oid", "inner"),
+    Edge("author", "dl_TIMContactTypeUser", "change.myCreatedBy", "author.oid"),
+)
 
-# Output columns with their types, and the sources of the columns that differ by branch.
+# Output columns with their types, and the names of the two kinds of history.
 TARGET = {
     "wrkflw_no": "string",
     "clm_no": "string",
@@ -75,16 +76,25 @@ def tables_for(dedup: str = "none") -> tuple[TableSpec, ...]:
     )
 
 
-def _branch(
-    ds: Mapping[str, DataFrame], edges: Sequence[Edge], kind: str, number: str, time: str, old: str, new: str
+def _changes(
+    ds: Mapping[str, DataFrame],
+    table: str,
+    edges: Sequence[Edge],
+    kind: str,
+    process: str,
+    number: Column,
+    time: str,
+    old: str,
+    new: str,
 ) -> DataFrame:
-    return star_join(ds, ("process", PROCESS_TABLE), edges).select(
-        F.col(number).alias("wrkflw_no"),
-        F.col("claim.aClaimNumber").alias("clm_no"),
+    """Changes of one kind in a common layout; `process` is the reference to the process they belong to."""
+    return star_join(ds, ("change", table), edges).select(
+        *[F.col(f"{process}_{half}").alias(f"myProcess_{half}") for half in HALVES],
+        *[F.col(f"change.myCreatedBy_{half}") for half in HALVES],
+        number.alias("wrkflw_no"),
         F.col("change.oid_instid").alias("hist_id"),
         F.lit(kind).alias("wrkflw_hist_type"),
         F.col(time).cast("timestamp").alias("wrkflw_hist_time_dt"),
-        F.col("author.aKey").alias("wrkflw_hist_user"),
         F.col(old).cast("string").alias("wrkflw_hist_frm_stat"),
         F.col(new).cast("string").alias("wrkflw_hist_to_stat"),
         F.col("reason.aName").alias("wrkflw_hist_rs"),
@@ -92,27 +102,42 @@ def _branch(
 
 
 def workflow_history(ds: Mapping[str, DataFrame]) -> DataFrame:
-    """Both histories from snapshots; their times come from different columns and are cast to one type."""
+    """Both histories from snapshots.
+
+    The two kinds are brought to one layout and put together first, so that processes, claims and
+    authors are joined once for both. Their times come from different columns and are cast to one type.
+    """
     require_tables(ds, [short_name(t.name) for t in LOG_TABLES])
-    activities = _branch(
+    referrals = _changes(
         ds,
-        ACTIVITY_EDGES,
+        "dl_CONWflForwardHistoryUpdate",
+        REFERRAL_EDGES,
         ACTIVITY_HISTORY,
-        number="activity.aUniqueID",
+        process="activity.myWflProcess",
+        number=F.col("activity.aUniqueID"),
         time="change._timestamp",
         old="change.aPrevReferStatus",
         new="change.aNewReferStatus",
     )
-    processes = _branch(
+    states = _changes(
         ds,
-        PROCESS_EDGES,
+        "dl_CONWflStateHistoryUpdate",
+        STATE_EDGES,
         PROCESS_HISTORY,
-        number="process.aUniqueID",
+        process="change.myHistoriedComponent",
+        number=empty("string"),
         time="change.aLastModified",
         old="old_state.aName",
         new="new_state.aName",
     )
-    return activities.unionByName(processes)
+    joined = star_join({**ds, "changes": referrals.unionByName(states)}, ("change", "changes"), COMMON_EDGES)
+    of_process = F.col("change.wrkflw_hist_type") == PROCESS_HISTORY
+    made = {
+        "wrkflw_no": F.when(of_process, F.col("process.aUniqueID")).otherwise(F.col("change.wrkflw_no")),
+        "clm_no": F.col("claim.aClaimNumber"),
+        "wrkflw_hist_user": F.col("author.aKey"),
+    }
+    return joined.select(*[made.get(c, F.col(f"change.{c}")).alias(c) for c in TARGET])
 
 
 def workflow_history_of_logs(logs: Mapping[str, DataFrame], dedup: str = "rank") -> DataFrame:
