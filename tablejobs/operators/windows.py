@@ -159,18 +159,15 @@ def number_rows(
     keys = list(keys)
     slices = [f"__slice{i}" for i in range(len(split))]
     sliced = df.withColumns(dict(zip(slices, split)))
-    sizes = sliced.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("__n"))
-    big_groups = F.broadcast(
-        _prefixed(
-            sizes.groupBy(*keys).agg(F.sum("__n").alias("__n")).filter(F.col("__n") > big).select(*keys), keys, "__big_"
-        )
-    )
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    big_groups = F.broadcast(_prefixed(counts.filter(F.col("__n") > big).select(*keys), keys, "__big_"))
     in_big = _same(keys, "__big_")
 
-    before = _rows_before(sizes.join(big_groups, in_big, "left_semi"), keys, slices)
+    in_slices = sliced.join(big_groups, in_big, "left_semi")
+    sizes = in_slices.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("__n"))
+    before = _rows_before(sizes, keys, slices)
     from_slices = (
-        sliced.join(big_groups, in_big, "left_semi")
-        .withColumn("__number", number([*keys, *slices]))
+        in_slices.withColumn("__number", number([*keys, *slices]))
         .join(_prefixed(before, [*keys, *slices], "__size_"), _same([*keys, *slices], "__size_"))
         .withColumn(name, F.col("__number") + F.col("__before"))
     )
