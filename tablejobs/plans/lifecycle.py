@@ -4,7 +4,8 @@ Three forms give the same rows.
 
 * `segment` (default) never builds the customer × day table. A label can only change on a purchase
   day, on the day after it, and on the first day of the months in which a latest purchase turns 13 and
-  25 month boundaries old. These at most eight days are computed inside the row of each purchase day.
+  25 month boundaries old. These at most eight days are computed inside the row of each purchase day,
+  so the ranges are complete without another grouping.
   The job shuffles twice: once to reduce transactions to purchase days (map-side), once to bring a
   customer's purchase days together. A customer has at most one row per day (and product division), so
   a customer with any number of transactions fits one task.
@@ -30,7 +31,7 @@ from tablejobs.functions.dates import (
     within_lookback,
 )
 from tablejobs.functions.labels import INACTIVE_MONTHS, LAPSE_MONTHS, lifecycle_label
-from tablejobs.functions.text import empty, min_text_length
+from tablejobs.functions.text import all_of, empty, min_text_length
 from tablejobs.operators.joins import interval_slices, point_slices, sliced_join
 from tablejobs.operators.windows import neighbours, pick_first, running_range
 from tablejobs.plans.hierarchy import NOT_IN_REPORT, default_mapping, with_hierarchy
@@ -134,56 +135,66 @@ def purchase_intervals(tx: DataFrame, keys: Sequence[str] = TOTAL_KEYS, channel:
 # --- segment form --------------------------------------------------------------------------------
 
 
-def _channel_state(keys: Sequence[str], flag: str) -> dict[str, Column]:
-    """First, previous and latest day of one channel, as seen on each purchase day."""
+CHANNELS = ("total", "web", "store")
+
+
+def _channel_state(keys: Sequence[str], channel: str, bought: Column) -> dict[str, Column]:
+    """First, previous and latest purchase of one channel, as seen on each purchase day."""
     by_day = Window.partitionBy(*keys).orderBy("tx_date")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = by_day.rowsBetween(Window.unboundedPreceding, -1)
-    # A channel row is matched by its key with plain equality, so a NULL key has no channel state.
-    known = [F.col(k).isNotNull() for k in keys]
-    day = F.when(F.expr(flag) & F.array_min(F.array(*known)), F.col("tx_date"))
+    day = F.when(bought, F.col("tx_date"))
     return {
-        f"{flag}_first": F.min(day).over(so_far),
-        f"{flag}_last": F.max(day).over(so_far),
-        f"{flag}_prev": F.max(day).over(earlier),
+        f"{channel}_first": F.min(day).over(so_far),
+        f"{channel}_last": F.max(day).over(so_far),
+        f"{channel}_prev": F.max(day).over(earlier),
     }
 
 
+def _gap(channel: str) -> Column:
+    return month_boundaries(F.col(f"{channel}_last"), F.col(f"{channel}_prev"))
+
+
 def _label(day: str, channel: str) -> Column:
-    first, prev, last = (F.col(f"{channel}_{x}") for x in ("first", "prev", "last"))
-    return lifecycle_label(F.col(day), first, month_boundaries(last, prev), last)
+    return lifecycle_label(F.col(day), F.col(f"{channel}_first"), _gap(channel), F.col(f"{channel}_last"))
+
+
+def _special_day(channel: str) -> Column:
+    """The channel's label on the purchase day is not the one of the day after it."""
+    last = F.col(f"{channel}_last")
+    returned = (last == F.col(f"{channel}_first")) | (_gap(channel) >= LAPSE_MONTHS)
+    return F.coalesce((last == F.col("total_last")) & returned, F.lit(False))
 
 
 def label_segments(tx: DataFrame, keys: Sequence[str], run_date: DateLike = None) -> DataFrame:
     """Spans of constant labels per key: seg_start, seg_end, the labels and the latest purchase days.
 
-    Spans end at `run_date`. Rows stay with their customer from the second shuffle on, so windows and
+    Spans end at `run_date` and are as long as they can be: two spans of a key that agree in all labels
+    and days do not occur. Rows stay with their customer from the second shuffle on, so windows and
     groupings whose keys include the customer need no further one.
     """
     run = as_date(run_date)
-    by_day = Window.partitionBy(*keys).orderBy("tx_date")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A channel row is matched by its key with plain equality, so a NULL key has no channel state.
+    known = all_of([F.col(k).isNotNull() for k in keys])
+    bought = {"total": F.lit(True), "web": F.col("web") & known, "store": F.col("store") & known}
     days = purchase_days(tx, keys).repartition("indiv_id")
     states = days.select(
         *keys,
-        F.lead("tx_date").over(by_day).alias("__next"),
-        F.col("tx_date").alias("total_last"),
-        F.lag("tx_date").over(by_day).alias("total_prev"),
-        F.min("tx_date").over(so_far).alias("total_first"),
-        *[column.alias(name) for flag in ("web", "store") for name, column in _channel_state(keys, flag).items()],
+        F.lead("tx_date").over(Window.partitionBy(*keys).orderBy("tx_date")).alias("__next"),
+        *[c.alias(name) for channel in CHANNELS for name, c in _channel_state(keys, channel, bought[channel]).items()],
     )
 
     started = F.col("total_last")
-    span_end = F.least(F.date_sub("__next", 1), run)
-    changes = [started, F.date_add(started, 1)]
-    for channel in ("total", "web", "store"):
+    special = F.when(_special_day("total") | _special_day("web") | _special_day("store"), F.date_add(started, 1))
+    changes = [started, special]
+    for channel in CHANNELS:
         for months in (LAPSE_MONTHS, INACTIVE_MONTHS):
             changes.append(month_start(F.col(f"{channel}_last"), months))
     breaks = F.sort_array(
         F.array_distinct(F.array(*[F.when(c.between(started, F.col("__span_end")), c) for c in changes]))
     )
     spans = (
-        states.withColumn("__span_end", span_end)
+        states.withColumn("__span_end", F.least(F.date_sub("__next", 1), run))
         .filter(started <= run)
         .withColumn("__breaks", breaks)
         .select("*", F.posexplode_outer("__breaks").alias("__pos", "seg_start"))
@@ -194,12 +205,8 @@ def label_segments(tx: DataFrame, keys: Sequence[str], run_date: DateLike = None
         *keys,
         "seg_start",
         F.coalesce(F.date_sub(following, 1), "__span_end").alias("seg_end"),
-        _label("seg_start", "total").alias("TOTAL_CS"),
-        _label("seg_start", "web").alias("MCOM_CS"),
-        _label("seg_start", "store").alias("STORE_CS"),
-        F.col("total_last").alias("last_purchase_dt_total"),
-        F.col("web_last").alias("last_purchase_dt_mcom"),
-        F.col("store_last").alias("last_purchase_dt_store"),
+        *[_label("seg_start", channel).alias(name) for channel, name in zip(CHANNELS, LABELS)],
+        *[F.col(f"{channel}_last").alias(name) for channel, name in zip(CHANNELS, LAST_DAYS)],
     )
 
 
@@ -305,6 +312,11 @@ def lifecycle_ranges(
     return days.withColumns({"seg_start": day, "seg_end": day}).drop("greg_date")
 
 
+def compact_ranges(labelled: DataFrame, state: Sequence[str]) -> DataFrame:
+    """First and last day of each distinct state."""
+    return labelled.groupBy(*state).agg(F.min("seg_start").alias("seg_start"), F.max("seg_end").alias("seg_end"))
+
+
 def lifecycle_total(
     transactions: DataFrame,
     run_date: DateLike = None,
@@ -316,15 +328,16 @@ def lifecycle_total(
     """Label ranges per customer over all product divisions, RANGE_COLUMNS.
 
     Within one latest purchase the channel dates are constant, so the running range of the report is
-    the plain MIN and MAX of each label tuple. `ordered` sorts the whole result as the report does.
+    the plain MIN and MAX of each label tuple; segments are such ranges already. `ordered` sorts the
+    whole result as the report does.
     """
     filters.setdefault("exclude_pdiv", TOTAL_EXCLUDED_PDIV)
     tx = base_transactions(transactions, run_date, lookback_days, **filters)
+    labelled = lifecycle_ranges(tx, TOTAL_KEYS, run_date, lookback_days, form)
+    if form != "segment":
+        labelled = compact_ranges(labelled, ["indiv_id", *LABELS, *LAST_DAYS])
     ranges = (
-        lifecycle_ranges(tx, TOTAL_KEYS, run_date, lookback_days, form)
-        .groupBy("indiv_id", *LABELS, *LAST_DAYS)
-        .agg(F.min("seg_start").alias("GREG_START_DT"), F.max("seg_end").alias("GREG_END_DT"))
-        .withColumnsRenamed({"indiv_id": "INDV_ID"})
+        labelled.withColumnsRenamed({"indiv_id": "INDV_ID", "seg_start": "GREG_START_DT", "seg_end": "GREG_END_DT"})
         .withColumns(
             {
                 "RTL_DIVN_NBR": empty("int"),
