@@ -21,10 +21,10 @@ from tablejobs.operators.joins import Edge, lookup_join, star_join
 from tablejobs.operators.windows import latest_per_key, number_rows
 from tablejobs.plans import activity, claims, history, legal
 from tablejobs.plans.hub import conform, duplicate_keys, version_counts, with_audit
+from tablejobs.plans.jobs import JOBS
 from tablejobs.sources.snapshots import TableSpec, load_snapshots, reader_of, short_name
 
 OID = "oid_clsno, oid_instid"
-USER_COLUMNS = ("oid_clsno", "oid_instid", "_timestamp", "_operation", "aEventId", "aHeader")
 
 
 # --- latest per key ------------------------------------------------------------------------------
@@ -178,6 +178,19 @@ def role_join(spark, sf):
     )
 
 
+@query(
+    "union_by_position",
+    """SELECT 'Event' AS kind, event_id AS id, user_id AS owner, ts AS happened FROM events
+UNION ALL SELECT 'Order', o_orderkey, o_custkey, o_orderdate FROM orders""",
+)
+def union_by_position(spark, sf):
+    events = read(spark, sf, "events").select(
+        F.lit("Event").alias("kind"), F.col("event_id").alias("id"), F.col("user_id").alias("owner"), F.col("ts").alias("happened")
+    )
+    placed = read(spark, sf, "orders").select(F.lit("Order"), "o_orderkey", "o_custkey", "o_orderdate")
+    return events.unionAll(placed)
+
+
 # --- numbering and uniqueness --------------------------------------------------------------------
 
 
@@ -398,6 +411,16 @@ def claims_hub(spark, sf):
     return claims.claims_of_logs(logs(spark, sf, _names(claims.TABLES)), load_dt="2024-04-01")
 
 
+@query(
+    "claims_job",
+    f"SELECT * EXCLUDE (load_dt) FROM ({_claims_sql()})",
+)
+def claims_job(spark, sf):
+    """The registered job over the same logs; its load day is today."""
+    inputs = logs(spark, sf, _names(claims.TABLES))
+    return JOBS["claims"].build(spark, "test", reader_of(inputs)).drop("load_dt")
+
+
 @query(
     "version_numbers",
     f"""SELECT {LINE_KEY} AS oid_instid, l_shipdate, l_partkey, row_number() OVER (PARTITION BY {LINE_KEY}

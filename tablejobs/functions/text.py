@@ -49,8 +49,8 @@ def min_text_length(df: DataFrame, column: str, length: int) -> Column:
 
 def row_hash(columns: list[str]) -> Column:
     """SHA-256 of the columns' text forms; NULL has its own mark, so it differs from empty text."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x02")) for c in columns]
-    return F.sha2(F.concat_ws("\x01", *parts), 256)
+    parts = ", ".join(f"coalesce(cast(`{c}` AS string), char(2))" for c in columns)
+    return F.expr(f"sha2(concat_ws(char(1), {parts}), 256)")
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablejobs.functions.dates import DateLike, as_date
 from tablejobs.functions.text import row_hash
 from tablejobs.sources.snapshots import OBJECT_ID, VERSION, TableSpec, load_snapshots
-from tablejobs.sources.tables import qualify, write_hub
+from tablejobs.sources.tables import qualify, scan, short_name, write_hub
 
 # Source code, partition columns and audit columns of the hub tables.
 SOURCE_SYSTEM = "PIMS"
@@ -71,12 +71,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
-Transform = Callable[[Mapping[str, DataFrame]], DataFrame]
+Transform = Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
 class HubJob:
-    """A hub table: its input specs, the transform over their snapshots, and its layout."""
+    """A hub table: its input specs, the transform over their snapshots, and its layout.
+
+    The transform takes the snapshots by table name. With `versioned`, the name of an input, it also
+    takes the version counts of that input's keys.
+    """
 
     name: str
     tables: Sequence[TableSpec]
@@ -86,6 +90,7 @@ class HubJob:
     granularity: Sequence[str] = ()
     partitions: Sequence[str] = ()
     dedup: str = "row_number"
+    versioned: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -111,8 +116,13 @@ class HubJob:
         self, spark: SparkSession, env: str | None = None, read: Callable[[str], DataFrame] | None = None
     ) -> DataFrame:
         """The hub table's rows, in its layout."""
+        read = read or (lambda name: scan(spark, name))
         inputs = load_snapshots(spark, self.tables, env, self.dedup, read)
-        return conform(self.transform(inputs), self.target)
+        counts = []
+        for spec in self.tables:
+            if short_name(spec.name) == self.versioned:
+                counts.append(version_counts(read(qualify(spec.name, env)), spec.keys))
+        return conform(self.transform(inputs, *counts), self.target)
 
     def write(self, df: DataFrame, env: str | None = None, path: str | None = None) -> None:
         write_hub(df, None if path else qualify(self.target_table, env), path, self.partitions)

@@ -40,6 +40,7 @@ JOBS = {
             "{db_env}_gi_hub_ctp.hub_pimsctp_claims",
             claims.GRANULARITY,
             PARTITIONS,
+            versioned="dl_TIMPolicyClaim",
         ),
     )
 }

@@ -26,6 +26,9 @@ FAMILY = "cf1"
 CELL = ("row_key", "family", "qualifier")
 VERSION = "written_at"
 
+# Size in memory of the cells that one file of a FolderClient holds.
+FILE_BYTES = 128 * 1024 * 1024
+
 
 def to_cells(
     df: DataFrame, key: str, columns: Sequence[str], family: str = FAMILY, version: str | None = None
@@ -94,10 +97,11 @@ class CellClient(Protocol):
 
 
 class FolderClient:
-    """Client that keeps every batch as a Parquet file in the shared folder `path`, a path or a URI.
+    """Client that keeps cells as Parquet files in the shared folder `path`, a path or a URI.
 
-    A file gets its name once it is complete; until then Spark's readers do not see it. Files of
-    repeated tasks repeat cells of the same version, which `latest_cells` resolves.
+    Batches are gathered to files of FILE_BYTES, so a partition makes few files. A file gets its name
+    once it is complete; until then Spark's readers do not see it. Files of repeated tasks repeat cells
+    of the same version, which `latest_cells` resolves.
     """
 
     def __init__(self, options: Mapping[str, str]):
@@ -107,14 +111,22 @@ class FolderClient:
         else:
             self.files, self.folder = fs.LocalFileSystem(), path.removeprefix("file:")
         self.files.create_dir(self.folder, recursive=True)
+        self.waiting: list[pa.RecordBatch] = []
 
     def write(self, batch: pa.RecordBatch) -> None:
-        name = f"{uuid.uuid4().hex}.parquet"
-        pq.write_table(pa.Table.from_batches([batch]), f"{self.folder}/_{name}", filesystem=self.files)
-        self.files.move(f"{self.folder}/_{name}", f"{self.folder}/cells-{name}")
+        self.waiting.append(batch)
+        if sum(b.nbytes for b in self.waiting) >= FILE_BYTES:
+            self._flush()
 
     def close(self) -> None:
-        pass
+        if self.waiting:
+            self._flush()
+
+    def _flush(self) -> None:
+        name = f"{uuid.uuid4().hex}.parquet"
+        pq.write_table(pa.Table.from_batches(self.waiting), f"{self.folder}/_{name}", filesystem=self.files)
+        self.files.move(f"{self.folder}/_{name}", f"{self.folder}/cells-{name}")
+        self.waiting = []
 
 
 def _open_client(options: Mapping[str, str]) -> CellClient:
