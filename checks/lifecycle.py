@@ -73,8 +73,8 @@ def _intervals_sql(keys: str, where: str = "true", suffix: str = "") -> str:
         "nxt_tx_dt": "coalesce(lead(d) OVER w, DATE '3499-12-31')",
         "first_purchase": f"min(d) OVER (PARTITION BY {keys})",
         "last_purchase": f"max(d) OVER (PARTITION BY {keys})",
-        "months_between_txn_nxt": "date_diff('month', d, lead(d) OVER w)",
-        "months_between_txn_prv": "date_diff('month', lag(d) OVER w, d)",
+        "months_between_txn_nxt": "CAST(date_diff('month', d, lead(d) OVER w) AS INTEGER)",
+        "months_between_txn_prv": "CAST(date_diff('month', lag(d) OVER w, d) AS INTEGER)",
     }
     select = ", ".join(f"{e} AS {c}{suffix}" for c, e in cols.items())
     return f"""SELECT {keys}, {select}
@@ -343,7 +343,8 @@ def group_without_aggregates(spark, sf):
 @query(
     "date_expressions",
     """SELECT l_orderkey, l_linenumber, l_partkey, CAST(o_orderdate AS DATE) AS ordered, CAST(l_shipdate AS DATE) AS shipped,
-  date_diff('month', o_orderdate, l_shipdate) AS months, date_diff('day', o_orderdate, l_shipdate) AS days,
+  CAST(date_diff('month', o_orderdate, l_shipdate) AS INTEGER) AS months,
+  CAST(date_diff('day', o_orderdate, l_shipdate) AS INTEGER) AS days,
   CAST(date_trunc('month', o_orderdate) + INTERVAL 13 MONTH AS DATE) AS lapse_start,
   CAST(l_shipdate AS DATE) - 30 AS month_before
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",

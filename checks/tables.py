@@ -174,7 +174,7 @@ def event_properties(spark, sf):
   CASE WHEN p_size > 45 THEN NULL ELSE p_name END AS name FROM part)
 SELECT p_partkey, coalesce(name, '') AS name_or_blank, concat_ws('', 'Part - ', name) AS titled,
   TRY_CAST(code AS INT) AS number, TRY_CAST('20' || lpad(code, 2, '0') || '-01-01' AS DATE) AS day,
-  hex(encode(CAST(p_partkey AS VARCHAR))) AS key_hex, length(CAST(p_partkey AS VARCHAR)) AS key_length FROM t""",
+  hex(encode(CAST(p_partkey AS VARCHAR))) AS key_hex, CAST(length(CAST(p_partkey AS VARCHAR)) AS INTEGER) AS key_length FROM t""",
 )
 def text_expressions(spark, sf):
     parts = read(spark, sf, "part").select(

@@ -138,6 +138,7 @@ def number_rows(
     name: str,
     split: Sequence[Column] = (),
     big: int = BIG_GROUP,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """ROW_NUMBER of every row in its group, ascending with NULLs last, as column `name`.
 
@@ -147,6 +148,10 @@ def number_rows(
     that date itself, then a range of the next order column. Rows are numbered inside the innermost
     slices, and the sizes of the earlier slices are added. The sizes come from a map-side aggregate. The list of big groups has at most (rows / `big`) entries, which makes it fit for a
     broadcast; all other groups take the plain window.
+
+    `among` may give a relation that is cheaper to count than `df` and holds at least its rows of each
+    group, such as the input of the joins `df` comes from. Which groups are sliced has no influence on
+    the numbers.
     """
     sort = [F.col(c).asc_nulls_last() for c in order]
 
@@ -159,7 +164,7 @@ def number_rows(
     keys = list(keys)
     slices = [f"__slice{i}" for i in range(len(split))]
     sliced = df.withColumns(dict(zip(slices, split)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = (df if among is None else among).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     big_groups = F.broadcast(_prefixed(counts.filter(F.col("__n") > big).select(*keys), keys, "__big_"))
     in_big = _same(keys, "__big_")
 

@@ -90,6 +90,7 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
             F.col("_timestamp"),
             F.floor(F.col("oid_instid") / IDS_PER_SLICE),
         ],
+        among=ds["dl_TIMClaimContactType"],
     )
     with_link = oid_join(
         numbered.alias("c"), ds["dl_TIMContactTypeClaimLink"].alias("link"), "c.myContactType", "link.oid"

@@ -123,3 +123,12 @@ def test_number_rows_against_sorting(spark, depth, big):
         )
         expected.update({r[3]: n for n, r in enumerate(group, 1)})
     assert got == expected
+
+
+@pytest.mark.parametrize("big", [2, 10**6])
+def test_numbers_do_not_depend_on_which_groups_are_sliced(spark, big):
+    data = [("a", 1), ("a", 2), ("b", 1)]
+    df = spark.createDataFrame(data, "k string, i int")
+    more = spark.createDataFrame([*data, ("b", 7), ("b", 8), ("c", 1)], "k string, i int")
+    got = number_rows(df, ["k"], ["i"], "n", split=[F.col("i")], big=big, among=more)
+    assert rows(got) == [("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]
