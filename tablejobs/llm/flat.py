@@ -107,6 +107,15 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.first)
 
+    @classmethod
+    def between(cls, data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Words:
+        """Words of given bounds."""
+        own = cls.__new__(cls)
+        own.data, own.offsets, own.starts, own.ends = data, offsets, starts, ends
+        own.first = np.searchsorted(starts, offsets)
+        own.counts = np.diff(own.first)
+        return own
+
     def __len__(self) -> int:
         return len(self.starts)
 

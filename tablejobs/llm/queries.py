@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import decontaminate, jaccard, substrings
+from tablejobs.llm import decontaminate, jaccard, substrings, tokens
+
+TOKENIZERS = "/opt/tokenizers"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +53,13 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = tokens.decode(tokens.encode(docs, path), path)
+    return found.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
