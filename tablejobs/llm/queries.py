@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import decontaminate, jaccard, substrings, tokens
+from tablejobs.llm import decontaminate, jaccard, substrings, tokenfiles, tokens
+from tablejobs.session import scratch_dir
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -63,3 +64,12 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found, counts = tokens.encode_and_count(docs, f"{TOKENIZERS}/byte_bpe_50k.json", split="before")
+    path = scratch_dir(spark, "token-files")
+    tokenfiles.write_tokens(found, counts, docs.count(), path)
+    return tokenfiles.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

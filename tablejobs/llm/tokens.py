@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablejobs.llm import flat, packed
+from tablejobs.llm.links import kept
 
 BLOCK_BYTES = 16_000_000
 _BATCH = 5_000
@@ -112,6 +113,19 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", s
     is byte-level. NULL and empty texts have no ids. Rows of a repeated id are each encoded; a NULL id stays NULL. An id
     is a 64-bit integer.
     """
+    return _encode(docs, path, id, text, split, counted=False)[0]
+
+
+def encode_and_count(
+    docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", split: str = "between"
+) -> tuple[DataFrame, DataFrame]:
+    """As `encode`, and (token, n): how often each id occurs in all documents, counted on the table of words."""
+    return _encode(docs, path, id, text, split, counted=True)
+
+
+def _encode(
+    docs: DataFrame, path: str, id: str, text: str, split: str, counted: bool
+) -> tuple[DataFrame, DataFrame | None]:
     if split not in SPLITS:
         raise ValueError(f"split must be one of {sorted(SPLITS)}, not {split!r}")
     ranges = max(packed.number_of_batches(docs, text) // 2, 2 * docs.sparkSession.sparkContext.defaultParallelism)
@@ -121,6 +135,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", s
         for block in _blocks(batches, split):
             bounds = packed.range_bounds(block.hashes, ranges, 64)
             own = [r for r in range(ranges) if bounds[r] < bounds[r + 1]]
+            often = np.bincount(block.places, minlength=len(block.words)) if counted else None
             # Lengths apart from the letters: a word of a text may hold any character.
             rows = [block.words[bounds[r] : bounds[r + 1]] for r in own]
             columns = [
@@ -128,8 +143,9 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", s
                 pa.array([block.name] * len(own), pa.int64()),
                 pa.array([packed.pack_numbers(np.array([len(w) for w in x])) for x in rows], pa.binary()),
                 pa.array([_shrunk(b"".join(x)) for x in rows], pa.binary()),
+                pa.array([packed.pack_numbers(often[bounds[r] : bounds[r + 1]]) if counted else None for r in own], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["range", "block", "sizes", "words"])
+            yield pa.RecordBatch.from_arrays(columns, ["range", "block", "sizes", "words", "often"])
 
     def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, split):
@@ -160,12 +176,20 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", s
                 flat_ids.extend(own)
         sizes, flat_ids = np.array(sizes, np.int64), np.array(flat_ids, "<u4")
         first = np.concatenate([[0], np.cumsum(sizes)])
-        out = []
+        out, often = [], np.zeros(len(known), np.int64)
         for row, words in zip(rows, asked):
             at = np.fromiter((distinct[w] for w in words), np.int64, len(words))
             ids = flat_ids[spread(first[at], sizes[at])]
             answer = {"sizes": packed.pack_numbers(sizes[at]), "tokens": _shrunk(packed.pack_numbers(ids.astype(np.uint64)))}
             out.append({"block": row["block"], "range": row["range"], **answer})
+            if counted:
+                often[at] += packed.unpack_numbers(row["often"]).astype(np.int64)
+        if counted:
+            token, place = np.unique(flat_ids, return_inverse=True)
+            n = np.zeros(len(token), np.int64)
+            np.add.at(n, place, np.repeat(often, sizes))
+            answer = {"sizes": n.astype("<i8").tobytes(), "tokens": token.astype("<u4").tobytes()}
+            out.append({"block": None, "range": rows[0]["range"], **answer})
         kind = pa.schema([("block", pa.int64()), ("range", pa.int32()), ("sizes", pa.binary()), ("tokens", pa.binary())])
         return pa.Table.from_pylist(out, kind)
 
@@ -189,13 +213,24 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", s
         columns = [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(texts, pa.binary())]
         return pa.Table.from_arrays(columns, ["__id", "n_tokens", "ids"])
 
-    asked = frame.mapInArrow(words, "range int, block long, sizes binary, words binary")
+    def numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                columns = [np.frombuffer(row["tokens"], "<u4").astype(np.int64), np.frombuffer(row["sizes"], "<i8")]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "n"])
+
+    asked = frame.mapInArrow(words, "range int, block long, sizes binary, words binary, often binary")
     table = asked.repartition(ranges, "range").groupBy("range")
     answers = table.applyInArrow(encoded, "block long, range int, sizes binary, tokens binary")
+    counts = None
+    if counted:
+        answers = kept(answers, "words")
+        counts = answers.filter("block is null").mapInArrow(numbers, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+        answers = answers.filter("block is not null")
     sent = frame.mapInArrow(places, "block long, ids array<long>, counts binary, places binary, n_words long")
     both = sent.repartition(ranges, "block").groupBy("block").cogroup(answers.groupBy("block"))
     found = both.applyInArrow(looked_up, "__id long, n_tokens long, ids binary")
-    return found.select(F.col("__id").alias(id), "n_tokens", "ids")
+    return found.select(F.col("__id").alias(id), "n_tokens", "ids"), counts
 
 
 def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -219,7 +254,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded"
     if any(p is None for p in pieces):
         raise ValueError("the vocabulary has gaps")
     shared = tokens.sparkSession.sparkContext.broadcast(pieces)
-    kept = [c for c in tokens.columns if c != name]
+    others = [c for c in tokens.columns if c != name]
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -230,7 +265,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded"
                     " ".join([table[i] for i in np.frombuffer(data, "<u4").tolist() if i < len(table)]) if data else ""
                     for data in part.column(ids).to_pylist()
                 ]
-                yield pa.RecordBatch.from_arrays([*map(part.column, kept), pa.array(texts, pa.string())], [*kept, name])
+                yield pa.RecordBatch.from_arrays([*map(part.column, others), pa.array(texts, pa.string())], [*others, name])
 
-    schema = T.StructType([*tokens.select(*[F.col(f"`{c}`") for c in kept]).schema.fields, T.StructField(name, T.StringType())])
+    schema = T.StructType([*tokens.select(*[F.col(f"`{c}`") for c in others]).schema.fields, T.StructField(name, T.StringType())])
     return tokens.mapInArrow(step, schema)
