@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import decontaminate, jaccard, substrings, tokenfiles, tokens
+from tablejobs.llm import decontaminate, fingerprints, jaccard, substrings, tokenfiles, tokens
 from tablejobs.session import scratch_dir
 
 TOKENIZERS = "/opt/tokenizers"
@@ -73,3 +73,10 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     tokenfiles.write_tokens(found, counts, docs.count(), path)
     return tokenfiles.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.edited_neighbours(table(spark, folder, "documents").select("doc_id", "text"))
+    sha = F.sha2("edited", 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", sha, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
