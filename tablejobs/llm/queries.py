@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import decontaminate, fingerprints, jaccard, substrings, tokenfiles, tokens
+from tablejobs.llm import decontaminate, fingerprints, jaccard, languages, substrings, tokenfiles, tokens
 from tablejobs.session import scratch_dir
 
 TOKENIZERS = "/opt/tokenizers"
@@ -80,3 +80,12 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     found = fingerprints.edited_neighbours(table(spark, folder, "documents").select("doc_id", "text"))
     sha = F.sha2("edited", 256).alias("edited_sha256")
     return found.select("doc_id", "n_chars", sha, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op1_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = languages.fold("doc_id", 3) == 1
+    model = languages.fit(docs.filter(~held).select("doc_id", "text", "lang"))
+    found = languages.identify(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "languages", "shares")

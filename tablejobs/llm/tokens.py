@@ -12,6 +12,7 @@ and the job stops with an error instead of mixing up places.
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterable, Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from tablejobs.llm import flat, packed
 from tablejobs.llm.links import kept
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 _BATCH = 5_000
 _ANY_SPACE = flat.byte_class((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D))
 # First bytes of characters that are certainly no white space.
@@ -52,8 +53,9 @@ def before_spaces(data: np.ndarray, offsets: np.ndarray) -> flat.Words:
 SPLITS = {"between": between_spaces, "before": before_spaces}
 
 
+@functools.lru_cache(maxsize=2)
 def tokenizer_of(path: str):
-    """The tokenizer of a file, without truncation and padding, on one thread."""
+    """The tokenizer of a file, without truncation and padding, on one thread; a worker loads it once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -76,6 +78,7 @@ class _Block:
         self.words = [firsts[s][i - base[s]] for s, i in zip(source[index].tolist(), index.tolist())]
         self.ids = [i for ids, *_ in pieces for i in ids]
         self.counts = np.concatenate([c for _, c, *_ in pieces])
+        place = place.astype(np.int32)
         self.places = np.concatenate([place[base[s] + inverse] for s, (*_, inverse) in enumerate(pieces)])
         with np.errstate(over="ignore"):
             total = flat.mix(self.hashes ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
@@ -88,7 +91,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], split: str) -> Iterator[_Block]:
         words = SPLITS[split](data, offsets)
         hashes, index, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
         firsts = [data[a:b].tobytes() for a, b in zip(words.starts[index], words.ends[index])]
-        waiting.append((batch.column("__id").to_pylist(), words.counts, hashes, firsts, inverse))
+        waiting.append((batch.column("__id").to_pylist(), words.counts, hashes, firsts, inverse.astype(np.int32)))
         size += len(data)
         if size >= BLOCK_BYTES:
             yield _Block(waiting)
