@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import decontaminate, fingerprints, jaccard, languages, substrings, tokenfiles, tokens
+from tablejobs.llm import decontaminate, fingerprints, jaccard, languages, quality, substrings, tokenfiles, tokens, toxicity
+from tablejobs.llm.labelled import fold
 from tablejobs.session import scratch_dir
 
 TOKENIZERS = "/opt/tokenizers"
@@ -60,7 +61,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{TOKENIZERS}/word_bpe_49k.json"
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = tokens.decode(tokens.encode(docs, path), path)
+    found = tokens.encode_and_decode(docs, path)
     return found.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
@@ -85,7 +86,32 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    held = languages.fold("doc_id", 3) == 1
+    held = fold("doc_id", 3) == 1
     model = languages.fit(docs.filter(~held).select("doc_id", "text", "lang"))
     found = languages.identify(docs.select("doc_id", held.alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "languages", "shares")
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held = fold("doc_id", 5) == 0
+    lexicon = toxicity.fit(docs, labels.filter(~held))
+    found = toxicity.score(docs.select("doc_id", held.alias("held_out"), "text"), lexicon)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "terms", "n_words")
+
+
+def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents with their quality; the host is the source, and languages are the paths of a host."""
+    held = fold("doc_id", 5) == 0
+    classifier = quality.fit(docs, labels.filter(~held))
+    scored = quality.evidence(docs, classifier).drop("text")
+    return quality.posteriors(scored, host="source", path="lang").withColumn("held_out", held)
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    found = quality_of(docs, table(spark, folder, "labels"))
+    kept = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return found.select("doc_id", "held_out", "evidence", "host_share", "path_share", "score", kept)

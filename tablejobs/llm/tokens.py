@@ -116,7 +116,12 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", s
     is byte-level. NULL and empty texts have no ids. Rows of a repeated id are each encoded; a NULL id stays NULL. An id
     is a 64-bit integer.
     """
-    return _encode(docs, path, id, text, split, counted=False)[0]
+    return _encode(docs, path, id, text, split)[0]
+
+
+def encode_and_decode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", split: str = "between") -> DataFrame:
+    """As `encode`, with the text of the ids as `decoded` (see `decode`), made where the ids are."""
+    return _encode(docs, path, id, text, split, decoded=True)[0]
 
 
 def encode_and_count(
@@ -127,10 +132,11 @@ def encode_and_count(
 
 
 def _encode(
-    docs: DataFrame, path: str, id: str, text: str, split: str, counted: bool
+    docs: DataFrame, path: str, id: str, text: str, split: str, counted: bool = False, decoded: bool = False
 ) -> tuple[DataFrame, DataFrame | None]:
     if split not in SPLITS:
         raise ValueError(f"split must be one of {sorted(SPLITS)}, not {split!r}")
+    shared = _pieces(docs, path) if decoded else None
     ranges = max(packed.number_of_batches(docs, text) // 2, 2 * docs.sparkSession.sparkContext.defaultParallelism)
     frame = docs.select(F.col(f"`{id}`").cast("long").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
 
@@ -214,7 +220,11 @@ def _encode(
             counts += np.diff(total).tolist()
             texts += [data[4 * a : 4 * b] for a, b in zip(total[:-1].tolist(), total[1:].tolist())]
         columns = [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(texts, pa.binary())]
-        return pa.Table.from_arrays(columns, ["__id", "n_tokens", "ids"])
+        names = ["__id", "n_tokens", "ids"]
+        if decoded:
+            columns.append(pa.array([_text(data, shared.value) for data in texts], pa.string()))
+            names.append("decoded")
+        return pa.Table.from_arrays(columns, names)
 
     def numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,8 +242,8 @@ def _encode(
         answers = answers.filter("block is not null")
     sent = frame.mapInArrow(places, "block long, ids array<long>, counts binary, places binary, n_words long")
     both = sent.repartition(ranges, "block").groupBy("block").cogroup(answers.groupBy("block"))
-    found = both.applyInArrow(looked_up, "__id long, n_tokens long, ids binary")
-    return found.select(F.col("__id").alias(id), "n_tokens", "ids"), counts
+    found = both.applyInArrow(looked_up, "__id long, n_tokens long, ids binary" + ", decoded string" * decoded)
+    return found.withColumnRenamed("__id", id), counts
 
 
 def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -243,6 +253,21 @@ def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(first - begin, sizes)
 
 
+def _pieces(frame: DataFrame, path: str):
+    """The piece of each id, shared with every task: one entry for each id of the vocabulary."""
+    vocabulary = tokenizer_of(path)
+    if vocabulary.decoder is not None:
+        raise ValueError("this tokenizer has a decoder of its own")
+    pieces = [vocabulary.id_to_token(i) for i in range(vocabulary.get_vocab_size())]
+    if any(p is None for p in pieces):
+        raise ValueError("the vocabulary has gaps")
+    return frame.sparkSession.sparkContext.broadcast(pieces)
+
+
+def _text(ids: bytes | None, pieces: list[str]) -> str:
+    return " ".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist() if i < len(pieces)]) if ids else ""
+
+
 def decode(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """`tokens` with the text of `ids` (little-endian unsigned 32-bit integers), special tokens shown.
 
@@ -250,13 +275,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded"
     task holds it as a list to join by position. It fits tokenizers without a decoder, whose text is the pieces joined by
     a space. NULL and empty ids give the empty text; an id that the vocabulary lacks is passed over.
     """
-    vocabulary = tokenizer_of(path)
-    if vocabulary.decoder is not None:
-        raise ValueError("this tokenizer has a decoder of its own")
-    pieces = [vocabulary.id_to_token(i) for i in range(vocabulary.get_vocab_size())]
-    if any(p is None for p in pieces):
-        raise ValueError("the vocabulary has gaps")
-    shared = tokens.sparkSession.sparkContext.broadcast(pieces)
+    shared = _pieces(tokens, path)
     others = [c for c in tokens.columns if c != name]
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,10 +283,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded"
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [
-                    " ".join([table[i] for i in np.frombuffer(data, "<u4").tolist() if i < len(table)]) if data else ""
-                    for data in part.column(ids).to_pylist()
-                ]
+                texts = [_text(data, table) for data in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*map(part.column, others), pa.array(texts, pa.string())], [*others, name])
 
     schema = T.StructType([*tokens.select(*[F.col(f"`{c}`") for c in others]).schema.fields, T.StructField(name, T.StringType())])
