@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import decontaminate, fingerprints, jaccard, languages, quality, substrings, tokenfiles, tokens, toxicity
+from tablejobs.llm import (
+    decontaminate,
+    fingerprints,
+    jaccard,
+    languages,
+    quality,
+    substrings,
+    tokenfiles,
+    tokens,
+    toxicity,
+    warc,
+)
 from tablejobs.llm.labelled import fold
 from tablejobs.session import scratch_dir
 
@@ -115,3 +126,78 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = quality_of(docs, table(spark, folder, "labels"))
     kept = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return found.select("doc_id", "held_out", "evidence", "host_share", "path_share", "score", kept)
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Four captures of each page as archive records: a full response now and then, else a revisit.
+
+    The version of a page changes with a full response, and its entity tag with it. Every 17th revisit names a wrong tag,
+    every 5th has a weak one, every 7th none but a digest.
+    """
+    n = F.col("page_id") * 4 + F.col("k")
+    full = ((F.col("page_id") + F.col("k") * 3) % 5 == 0) | ((F.col("k") == 0) & (F.col("page_id") % 9 != 0))
+    version = F.md5(F.col("html"))
+    wrong = n % 17 == 0
+    tag = F.when(~full & (n % 7 == 0), None).when(~full & wrong, F.lit("none")).otherwise(version)
+    tag = F.when(~full & (n % 5 == 0), F.concat(F.lit("W/"), tag)).otherwise(tag)
+    dated = F.col("k") * 1_000_000 + F.col("page_id")
+    headers = F.when(
+        full, F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("date"), dated.cast("string"), F.lit("content-length"), F.length("html").cast("string"))
+    ).otherwise(F.create_map(F.lit("date"), dated.cast("string"), F.lit("content-length"), F.lit("0"), F.lit("expires"), F.lit("soon")))
+    return pages.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
+        n.alias("record_id"),
+        "url",
+        F.when(full, "response").otherwise("revisit").alias("warc_type"),
+        F.timestamp_seconds(dated).alias("time"),
+        tag.alias("etag"),
+        F.lit(None).cast("string").alias("last_modified"),
+        version.alias("digest"),
+        headers.alias("headers"),
+        F.when(full, F.col("html")).alias("payload"),
+    )
+
+
+@query
+def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(captures(table(spark, folder, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
+    return found.select(
+        "record_id",
+        "canonical",
+        "status",
+        "resolved_from",
+        F.array_join(lines, "|").alias("headers"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+    )
+
+
+ORACLES["op7_warc_revisits"] = r"""
+WITH record AS (
+    SELECT page_id * 4 + k AS record_id, k, html, k * 1000000 + page_id AS tick, page_id,
+        (page_id + k * 3) % 5 = 0 OR (k = 0 AND page_id % 9 <> 0) AS whole,
+        regexp_replace(regexp_replace(regexp_replace(split_part(url, '#', 1), '^[a-z]+://(www\.)?', ''),
+            '([?&])(utm_source|ref)=[^&]*', '\1', 'g'), '/?[?&]*$', '') AS stripped
+    FROM pages, range(4) r(k)
+), tidy AS (
+    SELECT *, regexp_replace(stripped, '/+\?', '?') AS canonical FROM record
+), version AS (
+    SELECT *, CASE WHEN whole THEN md5(html) WHEN record_id % 7 = 0 THEN NULL
+        WHEN record_id % 17 = 0 THEN 'none' ELSE md5(html) END AS tag
+    FROM tidy
+), pair AS (
+    SELECT v.*, f.record_id AS f_id, f.html AS f_html, f.tick AS f_tick
+    FROM version v LEFT JOIN version f ON f.canonical = v.canonical AND f.whole AND f.tick < v.tick AND NOT v.whole
+    QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY f.tick DESC NULLS LAST, f.record_id DESC) = 1
+), judged AS (
+    SELECT *, CASE WHEN whole THEN 'full' WHEN f_id IS NULL THEN 'missing'
+        WHEN coalesce(tag = md5(f_html), md5(html) = md5(f_html)) THEN 'resolved' ELSE 'mismatch' END AS status
+    FROM pair
+)
+SELECT record_id, canonical, status, CASE WHEN status = 'resolved' THEN f_id END AS resolved_from,
+    CASE status
+        WHEN 'full' THEN 'content-length:' || length(html) || '|content-type:text/html|date:' || tick
+        WHEN 'resolved' THEN 'content-length:' || length(f_html) || '|content-type:text/html|date:' || tick || '|expires:soon'
+        ELSE 'content-length:0|date:' || tick || '|expires:soon' END AS headers,
+    CASE status WHEN 'full' THEN sha256(html) WHEN 'resolved' THEN sha256(f_html) END AS payload_sha256
+FROM judged
+"""
