@@ -2,7 +2,7 @@
 
 A block of documents is split into words; each distinct word gets its place in the block, in the order of the words'
 hashes. The block sends its distinct words, dealt by ranges of the hash. A range gathers the words of all blocks, encodes
-each distinct word once, and answers every block with ids in the order asked. The documents of the block, kept as places,
+each distinct word once (words are told apart by 64-bit hashes), and answers every block with ids in the order asked. The documents of the block, kept as places,
 turn into ids by looking up their places. So a word costs the tokenizer once however often it occurs, a frequent word is
 one entry for each block, and texts are not shuffled: only places are.
 
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tablejobs.llm import flat, packed
 from tablejobs.llm.links import kept
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 _BATCH = 5_000
 _ANY_SPACE = flat.byte_class((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D))
 # First bytes of characters that are certainly no white space.
@@ -69,29 +69,32 @@ class _Block:
     """Distinct words of some documents by hash, and the documents as places in this list."""
 
     def __init__(self, pieces: list) -> None:
-        hashes = [h for _, _, h, _, _ in pieces]
-        joined = np.concatenate(hashes)
-        self.hashes, index, place = np.unique(joined, return_index=True, return_inverse=True)
-        source = np.repeat(np.arange(len(pieces)), [len(h) for h in hashes])
-        base = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-        firsts = [pieces[s][3] for s in range(len(pieces))]
-        self.words = [firsts[s][i - base[s]] for s, i in zip(source[index].tolist(), index.tolist())]
-        self.ids = [i for ids, *_ in pieces for i in ids]
-        self.counts = np.concatenate([c for _, c, *_ in pieces])
-        place = place.astype(np.int32)
-        self.places = np.concatenate([place[base[s] + inverse] for s, (*_, inverse) in enumerate(pieces)])
-        with np.errstate(over="ignore"):
-            total = flat.mix(self.hashes ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
-        self.name = int(np.int64(total.view(np.int64)))
+        ids, texts, starts, sizes, hashes, counts = zip(*pieces)
+        self.ids = [i for own in ids for i in own]
+        self.counts = np.concatenate(counts)
+        data, base = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+        starts = np.concatenate([own + n for own, n in zip(starts, base)])
+        groups = packed.Groups(np.concatenate(hashes))
+        self.hashes = groups.keys
+        self.places = groups.spread(np.arange(len(groups.keys), dtype=np.int32))
+        one = groups.order[groups.begins]
+        self.sizes = np.concatenate(sizes)[one]
+        self._letters = data[spread(starts[one], self.sizes)]
+        self._ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        total = flat.mix(self.hashes ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
+        self.name = int(total.view(np.int64))
+
+    def letters(self, low: int, high: int) -> bytes:
+        """The distinct words low .. high - 1, one after the other."""
+        return self._letters[self._ends[low] : self._ends[high]].tobytes()
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], split: str) -> Iterator[_Block]:
     waiting, size = [], 0
     for batch, data, offsets in flat.pieces(batches, "__text"):
         words = SPLITS[split](data, offsets)
-        hashes, index, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        firsts = [data[a:b].tobytes() for a, b in zip(words.starts[index], words.ends[index])]
-        waiting.append((batch.column("__id").to_pylist(), words.counts, hashes, firsts, inverse.astype(np.int32)))
+        found = (words.starts, words.ends - words.starts, words.hashes(), words.counts)
+        waiting.append((batch.column("__id").to_pylist(), data, *found))
         size += len(data)
         if size >= BLOCK_BYTES:
             yield _Block(waiting)
@@ -144,14 +147,13 @@ def _encode(
         for block in _blocks(batches, split):
             bounds = packed.range_bounds(block.hashes, ranges, 64)
             own = [r for r in range(ranges) if bounds[r] < bounds[r + 1]]
-            often = np.bincount(block.places, minlength=len(block.words)) if counted else None
+            often = np.bincount(block.places, minlength=len(block.hashes)) if counted else None
             # Lengths apart from the letters: a word of a text may hold any character.
-            rows = [block.words[bounds[r] : bounds[r + 1]] for r in own]
             columns = [
                 pa.array(own, pa.int32()),
                 pa.array([block.name] * len(own), pa.int64()),
-                pa.array([packed.pack_numbers(np.array([len(w) for w in x])) for x in rows], pa.binary()),
-                pa.array([_shrunk(b"".join(x)) for x in rows], pa.binary()),
+                pa.array([packed.pack_numbers(block.sizes[bounds[r] : bounds[r + 1]]) for r in own], pa.binary()),
+                pa.array([_shrunk(block.letters(bounds[r], bounds[r + 1])) for r in own], pa.binary()),
                 pa.array([packed.pack_numbers(often[bounds[r] : bounds[r + 1]]) if counted else None for r in own], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["range", "block", "sizes", "words", "often"])
@@ -163,31 +165,31 @@ def _encode(
                 pa.array([block.ids], pa.list_(pa.int64())),
                 pa.array([block.counts.astype("<i8").tobytes()], pa.binary()),
                 pa.array([_shrunk(packed.pack_numbers(block.places))], pa.binary()),
-                pa.array([len(block.words)], pa.int64()),
+                pa.array([len(block.hashes)], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["block", "ids", "counts", "places", "n_words"])
 
     def encoded(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        asked = []
-        for row in rows:
-            ends = np.cumsum(packed.unpack_numbers(row["sizes"])).tolist()
-            letters = _grown(row["words"])
-            asked.append([letters[a:b] for a, b in zip([0, *ends], ends)])
-        distinct = {w: n for n, w in enumerate(dict.fromkeys(w for words in asked for w in words))}
-        tokenizer, known = tokenizer_of(path), list(distinct)
+        lengths = [packed.unpack_numbers(row["sizes"]).astype(np.int64) for row in rows]
+        data = np.frombuffer(b"".join(_grown(row["words"]) for row in rows), np.uint8)
+        ends = np.cumsum(np.concatenate(lengths))
+        words = flat.Words.between(data, np.array([0, len(data)]), ends - np.concatenate(lengths), ends)
+        groups = packed.Groups(words.hashes())
+        one = groups.order[groups.begins]
+        asked = np.split(groups.spread(np.arange(len(one), dtype=np.int64)), np.cumsum([len(x) for x in lengths])[:-1])
+        tokenizer = tokenizer_of(path)
         sizes, flat_ids = [], []
-        for start in range(0, len(known), _BATCH):
-            part = [w.decode() for w in known[start : start + _BATCH]]
+        for start in range(0, len(one), _BATCH):
+            part = [data[a:b].tobytes().decode() for a, b in zip(*(x[one[start : start + _BATCH]].tolist() for x in (words.starts, words.ends)))]
             for found in tokenizer.encode_batch_fast(part, add_special_tokens=False):
                 own = found.ids
                 sizes.append(len(own))
                 flat_ids.extend(own)
         sizes, flat_ids = np.array(sizes, np.int64), np.array(flat_ids, "<u4")
         first = np.concatenate([[0], np.cumsum(sizes)])
-        out, often = [], np.zeros(len(known), np.int64)
-        for row, words in zip(rows, asked):
-            at = np.fromiter((distinct[w] for w in words), np.int64, len(words))
+        out, often = [], np.zeros(len(one), np.int64)
+        for row, at in zip(rows, asked):
             ids = flat_ids[spread(first[at], sizes[at])]
             answer = {"sizes": packed.pack_numbers(sizes[at]), "tokens": _shrunk(packed.pack_numbers(ids.astype(np.uint64)))}
             out.append({"block": row["block"], "range": row["range"], **answer})
