@@ -199,7 +199,8 @@ RANK_SQL = """SELECT l_suppkey, l_returnflag, l_shipdate, l_orderkey, l_linenumb
     ORDER BY l_shipdate ASC NULLS LAST, l_orderkey, l_linenumber, l_partkey) AS first_rank FROM lineitem"""
 
 
-def _first_rank(spark, sf, **options):
+@query("first_engaged_rank", RANK_SQL)
+def first_engaged_rank(spark, sf):
     lines = read(spark, sf, "lineitem").select(
         "l_suppkey", "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"
     )
@@ -208,20 +209,24 @@ def _first_rank(spark, sf, **options):
         ["l_suppkey", "l_returnflag"],
         ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
         "first_rank",
-        split=[F.date_trunc("month", "l_shipdate"), F.col("l_shipdate")],
-        **options,
+        split=[F.date_trunc("month", "l_shipdate"), F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 1000)],
     )
 
 
-@query("first_engaged_rank", RANK_SQL)
-def first_engaged_rank(spark, sf):
-    return _first_rank(spark, sf)
-
-
 @query("first_engaged_rank_sliced", RANK_SQL)
 def first_engaged_rank_sliced(spark, sf):
-    """As above with a low limit, so that most groups are numbered slice by slice."""
-    return _first_rank(spark, sf, big=200)
+    """As above above a join, whose shuffle by the supplier must not stand in for the one by slices."""
+    lines = read(spark, sf, "lineitem").select(
+        "l_suppkey", "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"
+    )
+    suppliers = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+    return number_rows(
+        lines.join(suppliers, "l_suppkey"),
+        ["l_suppkey", "l_returnflag"],
+        ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
+        "first_rank",
+        split=[F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 1000)],
+    )
 
 
 @query(
@@ -436,5 +441,5 @@ def version_numbers(spark, sf):
         ["oid_instid"],
         ["l_shipdate", "l_partkey", "l_suppkey"],
         "record_version_no",
-        split=[F.to_date("l_shipdate")],
+        split=[F.to_date("l_shipdate"), F.floor(F.col("l_partkey") / 100)],
     )

@@ -20,9 +20,6 @@ HALVES = ("clsno", "instid")
 # Days per slice of an interval join: a slice of one key holds at most this many distinct days.
 SLICE_DAYS = 32
 
-# Most rows of a lookup that is sent to every executor on request.
-BROADCAST_ROWS = 100_000
-
 
 def ref_equal(left: str, right: str) -> Column:
     """Both halves of two references are equal; each side reads `alias.ref`."""
@@ -45,19 +42,9 @@ class Edge:
     how: str = "left"
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks the relation for broadcast if it has at most `max_rows` rows, else returns it as it is.
-
-    The count stops after `max_rows + 1` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def lookup_join(
-    left: DataFrame, lookup: DataFrame, left_ref: str, right_ref: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left join of an aliased lookup table, broadcast while it is small and shuffled beyond that."""
-    return oid_join(left, small_side(lookup, max_rows), left_ref, right_ref, "left")
+def lookup_join(left: DataFrame, lookup: DataFrame, left_ref: str, right_ref: str) -> DataFrame:
+    """Left join of an aliased lookup table; statistics and adaptive execution tell whether it is broadcast."""
+    return oid_join(left, lookup, left_ref, right_ref, "left")
 
 
 def star_join(ds: Mapping[str, DataFrame], base: tuple[str, str], edges: Sequence[Edge]) -> DataFrame:

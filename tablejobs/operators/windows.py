@@ -16,9 +16,6 @@ from pyspark.sql import types as T
 from tablejobs.functions.dates import OPEN_END, month_boundaries
 from tablejobs.functions.text import all_of
 
-# Rows of one group that a single task may sort.
-BIG_GROUP = 1_000_000
-
 DEDUP_MODES = ("row_number", "rank", "none")
 
 
@@ -31,8 +28,17 @@ def order_column(term: str) -> Column:
     return F.col(name).desc_nulls_last() if direction == "desc" else F.col(name).asc_nulls_first()
 
 
+def _can_be_hashed(kind: T.DataType) -> bool:
+    """Maps and variants cannot, nor what holds them."""
+    if isinstance(kind, T.ArrayType):
+        return _can_be_hashed(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_can_be_hashed(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _row_fingerprint(df: DataFrame) -> Column:
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashable = [f.name for f in df.schema.fields if _can_be_hashed(f.dataType)]
     return F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
 
 
@@ -132,26 +138,16 @@ def _prefixed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    split: Sequence[Column] = (),
-    big: int = BIG_GROUP,
-    among: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, split: Sequence[Column] = ()
 ) -> DataFrame:
     """ROW_NUMBER of every row in its group, ascending with NULLs last, as column `name`.
 
-    Every row keeps its number, so a group cannot be cut down before it is sorted. Groups of more than
-    `big` rows are therefore cut into slices by `split`, outermost first. Among rows that agree on the
-    slices before it, a slice must never fall while the order rises: the day of the leading date, then
-    that date itself, then a range of the next order column. Rows are numbered inside the innermost
-    slices, and the sizes of the earlier slices are added. The sizes come from a map-side aggregate. The list of big groups has at most (rows / `big`) entries, which makes it fit for a
-    broadcast; all other groups take the plain window.
-
-    `among` may give a relation that is cheaper to count than `df` and holds at least its rows of each
-    group, such as the input of the joins `df` comes from. Which groups are sliced has no influence on
-    the numbers.
+    Every row keeps its number, so a group cannot be cut down before it is sorted. All groups are cut into slices by
+    `split`, outermost first. Among rows that agree on the slices before it, a slice must never fall while the order
+    rises: the day of the leading date, then that date itself, then a range of the next order column. Rows are dealt by
+    group and slices and numbered inside the innermost slices; the sizes of the earlier slices, from one narrow map-side
+    reduced count, are added. The rows are dealt anew whatever came before, since an input that is hashed by the keys
+    alone would pass for one that is hashed by keys and slices.
     """
     sort = [F.col(c).asc_nulls_last() for c in order]
 
@@ -164,20 +160,14 @@ def number_rows(
     keys = list(keys)
     slices = [f"__slice{i}" for i in range(len(split))]
     sliced = df.withColumns(dict(zip(slices, split)))
-    counts = (df if among is None else among).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    big_groups = F.broadcast(_prefixed(counts.filter(F.col("__n") > big).select(*keys), keys, "__big_"))
-    in_big = _same(keys, "__big_")
-
-    in_slices = sliced.join(big_groups, in_big, "left_semi")
-    sizes = in_slices.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("__n"))
-    before = _rows_before(sizes, keys, slices)
-    from_slices = (
-        in_slices.withColumn("__number", number([*keys, *slices]))
-        .join(_prefixed(before, [*keys, *slices], "__size_"), _same([*keys, *slices], "__size_"))
-        .withColumn(name, F.col("__number") + F.col("__before"))
+    sizes = sliced.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("__n"))
+    before = _prefixed(_rows_before(sizes, keys, slices), [*keys, *slices], "__size_")
+    return (
+        sliced.repartition(*keys, *slices)
+        .withColumn("__number", number([*keys, *slices]))
+        .join(before, _same([*keys, *slices], "__size_"))
+        .select(*df.columns, (F.col("__number") + F.col("__before")).alias(name))
     )
-    plain = df.join(big_groups, in_big, "left_anti").withColumn(name, number(keys))
-    return plain.unionByName(from_slices.select(*df.columns, name))
 
 
 def _rows_before(sizes: DataFrame, keys: list[str], slices: list[str]) -> DataFrame:

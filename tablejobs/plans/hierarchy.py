@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.operators.joins import small_side
 
 # Product division number and name, for store division 71 and for 77.
 NAMES_71 = """
@@ -95,11 +94,11 @@ def in_report(division: Column, pdiv: Column) -> Column:
 def with_hierarchy(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """Adds FILTER_LEVEL (NULL where the mapping has no name), Attr_Flag and Flag_Desc.
 
-    The mapping must be unique by (rtl_divn_nbr, pdiv_id). It is broadcast while it is small.
+    The mapping must be unique by (rtl_divn_nbr, pdiv_id). Its statistics tell whether it is broadcast.
     """
     flagged = in_report(F.col("rtl_divn_nbr"), F.col("pdiv_id"))
     names = mapping.select("rtl_divn_nbr", "pdiv_id", F.col("filter_level").alias("FILTER_LEVEL"))
-    return df.join(small_side(names), ["rtl_divn_nbr", "pdiv_id"], "left").withColumns(
+    return df.join(names, ["rtl_divn_nbr", "pdiv_id"], "left").withColumns(
         {
             "Attr_Flag": F.when(flagged, 1).otherwise(0),
             "Flag_Desc": F.when(flagged, IN_REPORT).otherwise(NOT_IN_REPORT),

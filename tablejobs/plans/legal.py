@@ -54,7 +54,7 @@ TARGET = {
 }
 CONTACT_TYPE_PREFIX = "ClaimLink - "
 
-# Most object ids of one class in the innermost slice that one task numbers.
+# Object ids in the innermost slice that one task numbers. The numbers do not depend on it.
 IDS_PER_SLICE = 100_000
 
 
@@ -62,12 +62,12 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
     """Legal contact rows from snapshots.
 
     Every contact of a claim and subcategory gets a number, so a group cannot be cut down before it is
-    sorted; a big one is sliced by day, hour, time and id range. The numbers depend on the two inner joins only and
+    sorted; it is sliced by day, hour, time and id range. The numbers depend on the two inner joins only and
     are given before the two lookups are joined.
     """
     require_tables(ds, [short_name(t.name) for t in TABLES])
     matched = star_join(ds, ("contact", "dl_TIMClaimContactType"), REQUIRED_EDGES).select(
-        *[F.col(f"contact.{c}") for c in ("oid_instid", "_timestamp", "aDateEngaged", *GROUP)],
+        *[F.col(f"contact.{c}") for c in ("oid_clsno", "oid_instid", "_timestamp", "aDateEngaged", *GROUP)],
         "contact.myContactType_clsno",
         "contact.myContactType_instid",
         "claim.aClaimNumber",
@@ -82,7 +82,7 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
     numbered = number_rows(
         matched,
         GROUP,
-        ["aDateEngaged", "_timestamp", "oid_instid"],
+        ["aDateEngaged", "_timestamp", "oid_instid", "oid_clsno"],
         "legl_rank_first",
         split=[
             F.col("aDateEngaged"),
@@ -90,7 +90,6 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
             F.col("_timestamp"),
             F.floor(F.col("oid_instid") / IDS_PER_SLICE),
         ],
-        among=ds["dl_TIMClaimContactType"],
     )
     with_link = oid_join(
         numbered.alias("c"), ds["dl_TIMContactTypeClaimLink"].alias("link"), "c.myContactType", "link.oid"

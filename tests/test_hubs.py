@@ -255,12 +255,10 @@ def test_legal_contacts(spark):
     assert duplicate_keys(got, JOBS["legal_contacts"].granularity).isEmpty()
 
 
-def test_big_groups_of_contacts_are_numbered_alike(spark, sf, monkeypatch):
+def test_numbers_of_contacts_do_not_depend_on_the_slices(spark, sf, monkeypatch):
     inputs = logs(spark, sf, [short_name(t.name) for t in legal.TABLES])
     whole = legal.legal_contacts_of_logs(inputs)
-    sliced = lambda *args, **options: number_rows(*args, big=1, **options)
-    number_rows = legal.number_rows
-    monkeypatch.setattr(legal, "number_rows", sliced)
+    monkeypatch.setattr(legal, "IDS_PER_SLICE", 7)
     assert same(whole, legal.legal_contacts_of_logs(inputs))
 
 

@@ -12,7 +12,6 @@ from tablejobs.operators.joins import (
     lookup_join,
     oid_join,
     require_tables,
-    small_side,
     star_join,
 )
 
@@ -53,13 +52,13 @@ def test_missing_tables_are_all_named(tables):
         require_tables(tables, ["things", "x", "y"])
 
 
-def test_lookup_is_broadcast_only_while_small(spark, tables, capsys):
+def test_lookup_join_runs_no_job_and_hints_nothing(spark, tables):
     things, owners = tables["things"].alias("t"), tables["owners"].alias("o")
-    small = lookup_join(things, owners, "t.myOwner", "o.oid", max_rows=3)
-    assert "BroadcastHashJoin" in plan(small, capsys)
-    large = lookup_join(things, owners, "t.myOwner", "o.oid", max_rows=2)
-    assert rows(small.select("thing", "name")) == rows(large.select("thing", "name"))
-    assert small_side(tables["owners"], 2) is tables["owners"]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    joined = lookup_join(things, owners, "t.myOwner", "o.oid")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    assert "hint" not in joined._jdf.queryExecution().logical().toString().lower()
+    assert joined.count() == tables["things"].count()
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])

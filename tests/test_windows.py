@@ -103,10 +103,9 @@ def test_running_range_with_carry_sees_all_peers(spark):
 
 
 @pytest.mark.parametrize("depth", [0, 1, 2, 4])
-@pytest.mark.parametrize("big", [0, 5, 60, 10**6])
-def test_number_rows_against_sorting(spark, depth, big):
+def test_number_rows_against_sorting(spark, depth):
     """One group holds a third of all rows; NULLs in keys and order."""
-    random.seed(depth * 100 + big % 97)
+    random.seed(depth)
     data = []
     for i in range(400):
         key = "hot" if random.random() < 0.35 else random.choice(["a", "b", "c", None])
@@ -115,7 +114,7 @@ def test_number_rows_against_sorting(spark, depth, big):
         data.append((key, text, moment, i))
     df = spark.createDataFrame(data, "k string, t string, m timestamp, i int")
     split = [F.col("t"), F.date_trunc("hour", "m"), F.col("m"), F.floor(F.col("i") / 50)][:depth]
-    got = {r.i: r.n for r in number_rows(df, ["k"], ["t", "m", "i"], "n", split=split, big=big).collect()}
+    got = {r.i: r.n for r in number_rows(df, ["k"], ["t", "m", "i"], "n", split=split).collect()}
     expected = {}
     for key in {r[0] for r in data}:
         group = sorted(
@@ -125,10 +124,25 @@ def test_number_rows_against_sorting(spark, depth, big):
     assert got == expected
 
 
-@pytest.mark.parametrize("big", [2, 10**6])
-def test_numbers_do_not_depend_on_which_groups_are_sliced(spark, big):
-    data = [("a", 1), ("a", 2), ("b", 1)]
-    df = spark.createDataFrame(data, "k string, i int")
-    more = spark.createDataFrame([*data, ("b", 7), ("b", 8), ("c", 1)], "k string, i int")
-    got = number_rows(df, ["k"], ["i"], "n", split=[F.col("i")], big=big, among=more)
-    assert rows(got) == [("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]
+def test_slices_of_a_hot_group_are_dealt_out_above_a_join(spark, capsys):
+    """90 % of the rows have one key; the join below has already hashed them by it."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(4000).select(F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("i"))
+        joined = left.join(spark.range(4000).select(F.col("id").alias("k")), "k")
+        numbered = number_rows(joined, ["k"], ["i"], "n", split=[F.floor(F.col("i") / 100)])
+        text = plan(numbered, capsys)
+        assert "Exchange hashpartitioning(k" in text and "__slice0" in text.split("REPARTITION_BY_COL")[0].rsplit("Exchange", 1)[1]
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        hot = numbered.filter("k = 0").groupBy(F.spark_partition_id()).count()
+        assert hot.count() > 1
+        assert numbered.filter("k = 0").agg(F.max("n"), F.countDistinct("n")).first() == (3601, 3601)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_fingerprint_passes_over_nested_maps(spark):
+    df = spark.sql("SELECT 1 AS k, TIMESTAMP '2024-01-01 00:00:00' AS _timestamp, array(map('a', 1)) AS m, named_struct('x', map('b', 2)) AS s")
+    assert latest_per_key(df, ["k"]).count() == 1
