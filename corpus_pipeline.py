@@ -23,17 +23,31 @@ LEAST_QUALITY = 0.5
 ORACLE_SQL = None
 
 
-def _with_text(docs: DataFrame, text: Column, columns: list[str]) -> DataFrame:
+# Columns that the stages read; further ones are carried under names that no operator uses.
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    return docs.withColumnsRenamed({c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in READ})
+
+
+def _given_back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs`, with their names and in their order."""
+    own = [F.col(c if c in READ else f"__own_{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return found.select(*own)
+
+
+def _with_text(found: DataFrame, text: Column, docs: DataFrame) -> DataFrame:
     """The columns of the documents with another text and its length."""
-    changed = docs.withColumn("text", text)
-    return changed.withColumn("n_chars", F.char_length("text").cast("long")).select(*[F.col(f"`{c}`") for c in columns])
+    changed = found.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+    return _given_back(changed, docs)
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality, by their text and their site, is more likely good than not."""
     classifier = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.posteriors(quality.evidence(docs, classifier), host="source", path="lang")
-    return scored.filter(F.col("score") >= LEAST_QUALITY).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = quality.posteriors(quality.evidence(_carried(docs), classifier), host="source", path="lang")
+    return _given_back(scored.filter(F.col("score") >= LEAST_QUALITY), docs)
 
 
 def first_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,14 +59,14 @@ def first_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 50 words that an earlier document has; all others stay as they are."""
-    found = substrings.remove_repeats(docs)
-    return _with_text(found, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")), docs.columns)
+    found = substrings.remove_repeats(_carried(docs))
+    return _with_text(found, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")), docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words that lie in windows of the benchmark; all others stay as they are."""
-    found = decontaminate.remove_spans(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
-    return _with_text(found, F.col("text"), docs.columns)
+    found = decontaminate.find_leaks(_carried(docs), table(spark, sf_dir, "benchmark"))
+    return _with_text(decontaminate.remove_spans(found), F.col("text"), docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,10 +148,10 @@ def _strength(groups: DataFrame, share: Column, centre: Column) -> float:
     The spread beyond what documents of one group differ by is the spread among groups; a small one means a strong centre.
     """
     found = groups.agg(
-        F.sum(F.col("n") * (share - centre) ** 2).alias("spread"),
+        F.sum(F.col("__n") * (share - centre) ** 2).alias("spread"),
         F.sum(centre * (1 - centre)).alias("noise"),
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") * centre * (1 - centre)).alias("total"),
+        F.sum("__n").alias("n"),
+        F.sum(F.col("__n") * centre * (1 - centre)).alias("total"),
     ).first()
     among = ((found["spread"] or 0) - (found["noise"] or 0)) / max(found["n"] or 0, 1)
     if among <= 0:
@@ -170,16 +170,17 @@ def posteriors(scored: DataFrame, host: str = "host", path: str = "path", name:
     keys = {"__host": F.coalesce(F.col(host).cast("string"), F.lit("")), "__path": F.coalesce(F.col(path).cast("string"), F.lit(""))}
     frame = scored.select(*[F.col(f"`{c}`") for c in own]).withColumns(keys)
     # Written once: the shares and the strengths of both levels are read from it.
-    paths = kept(frame.groupBy("__host", "__path").agg(F.count(F.lit(1)).alias("n"), F.sum(name).alias("s")), "paths")
-    total = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
+    sums = frame.groupBy("__host", "__path").agg(F.count(F.lit(1)).alias("__n"), F.sum(name).alias("__s"))
+    paths = kept(sums, "paths")
+    total = paths.agg(F.sum("__n").alias("n"), F.sum("__s").alias("s")).first()
     centre = F.lit(total["s"] / total["n"] if total["n"] else 0.5)
-    hosts = paths.groupBy("__host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    of_host = _strength(hosts, F.col("s") / F.col("n"), centre)
-    share = (F.col("s") + F.lit(of_host) * centre) / (F.col("n") + of_host)
+    hosts = paths.groupBy("__host").agg(F.sum("__n").alias("__n"), F.sum("__s").alias("__s"))
+    of_host = _strength(hosts, F.col("__s") / F.col("__n"), centre)
+    share = (F.col("__s") + F.lit(of_host) * centre) / (F.col("__n") + of_host)
     both = paths.join(hosts.select("__host", share.alias("host_share")), "__host")
-    of_path = F.lit(_strength(both, F.col("s") / F.col("n"), F.col("host_share")))
+    of_path = F.lit(_strength(both, F.col("__s") / F.col("__n"), F.col("host_share")))
     joined = frame.join(both, ["__host", "__path"])
-    rest = (F.col("s") - F.col(name) + of_path * F.col("host_share")) / (F.col("n") - 1 + of_path)
+    rest = (F.col("__s") - F.col(name) + of_path * F.col("host_share")) / (F.col("__n") - 1 + of_path)
     moved = _logit(F.col(name)) + _logit(F.col("path_share")) - _logit(centre)
     return joined.withColumn("path_share", rest).select(
         *[F.col(f"`{c}`") for c in own], "host_share", "path_share", (1 / (1 + F.exp(-moved))).alias("score")
