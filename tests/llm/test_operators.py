@@ -325,7 +325,7 @@ def test_toxicity_learns_folds_and_excuses(spark, frame, nothing):
         text, bad = prose(i, 30), i % 4 == 0
         if bad:
             text += " you Fool " + r.choice(["idiot", "ID1OT", "іdiоt"])
-        elif i % 4 == 1:
+        elif i % 20 == 1:
             text += " holy fool"
         docs.append((i, text))
         labels.append((i, int(bad) if i % 50 else None))
