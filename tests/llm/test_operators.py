@@ -133,7 +133,7 @@ def test_similar_documents(frame, corpus):
     assert got == brute.similar(corpus)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_similar_documents_of_many_versions(spark, seed, monkeypatch):
     """Versions that drift apart: links form chains, many pairs lie near the bound, blocks are small."""
     monkeypatch.setattr(jaccard, "BLOCK", 4)
@@ -241,14 +241,15 @@ def test_token_files_of_nothing(spark, nothing):
     assert tokenfiles.read_tokens(spark, folder).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 5, 700, 40_000])
+@pytest.mark.parametrize("n", [1, 5, 700, 6_000])
 def test_rans(n):
     ids = np.random.default_rng(n).zipf(1.3, n).clip(1, 3000).astype(np.uint32)
     coder = rans.Coder(rans.quantised(np.bincount(ids)))
     for lanes, every in ((1, 3), (16, 4), (256, 8)):
         words, states, places = coder.encode(ids, lanes, every)
         assert (coder.decode(n, lanes, every, words, states, places) == ids).all()
-        for k in range(len(places) // 8):
+        marks = len(places) // 8
+        for k in {0, 1 % marks, marks // 2, marks - 1}:
             assert (coder.decode(n, lanes, every, words, states, places, k) == ids[k * lanes * every :]).all()
         if len(words) > 8:
             with pytest.raises(ValueError, match="stream"):
