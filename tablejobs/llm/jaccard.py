@@ -3,19 +3,18 @@
 Sets are put into bands of sizes; two sets with a similarity of at least `percent` lie in the same band or in neighbouring
 ones. An instance of the join takes two neighbouring bands. There, linked sets differ in at most k shingles. The domain
 of shingles (their hashes) is cut into n = k + 1 + t parts, the same for all sets of an instance, so at least t + 1 parts
-of two linked sets are equal. A signature is the content of one part. A set may then do without any t of its signatures,
-as long as the other set does without the same ones:
+of two linked sets are equal. A signature is the content of one part. That gives two rules without loss:
 
 * empty parts have no signature. A set with more than t empty parts adds the signatures of its prefix (the first shingles
   by hash, of which two linked sets share at least one). So do all such sets, which are few.
-* a signature shared by many sets is dropped from a set whose empty and frequent parts are t at most together. Content
-  that many documents share does not bring them together; near copies by the thousand stay together, as nearly all their
-  signatures are frequent.
-
-Equal sets are one node. A batch sends its signatures packed by ranges. Sets that share a signature are compared with
-the smallest node of its group first; where linked sets become one component, no more comparisons are made, so a group
-of near copies never costs all its pairs. What is left is compared with the next 8, 64, ... nodes, until all sets of
-the group were compared or are in one component.
+* a set whose empty parts and shared signatures are t at most together has no link in this instance, and its signatures
+  go. Passages that many documents share do not bring them together.
+
+Equal sets are one node. A batch sends its signatures packed by ranges. Each group of sets that share a signature is
+compared with its leader first, the set that shares most with others, such as the source of many near copies. Where linked
+sets become one component, no more comparisons are made. What is left open, sets of one group in different components, is
+compared in blocks: sets with one leader are dealt to blocks of about BLOCK sets, blocks that meet in an open group are
+compared as a whole, and of the links between two components one is kept. Pairs of sets are no rows anywhere.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.llm import flat, packed
@@ -33,8 +32,8 @@ from tablejobs.llm.links import components, kept
 
 SHINGLE = 5
 PERCENT = 80
-# Sets that share a signature beyond which a set may do without it. The result does not depend on it.
-FREQUENT = 16
+# Sets in a block of the comparisons that are open after the leaders'. The result does not depend on it.
+BLOCK = 128
 _LARGEST = 1 << 31
 
 
@@ -90,8 +89,9 @@ class Sets:
                 shingles.append(flat.window_hashes(hashes, n)[words.first[short]])
                 doc.append(short)
         h, d = np.concatenate(shingles), np.concatenate(doc)
-        order = np.argsort(h)
-        order = order[np.argsort(d[order].astype(np.uint32), kind="stable")]
+        order = packed.order_of(h)
+        small = np.uint16 if len(words.counts) < 1 << 16 else np.uint32
+        order = order[np.argsort(d[order].astype(small), kind="stable")]
         h, d = h[order], d[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
@@ -156,7 +156,7 @@ def shingle_sets(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
 
 
 def _groups(docs: DataFrame, text: str, width: int, bands: Bands) -> DataFrame:
-    """(sig, key, side, slack, frequent) of all sets that share a signature with another one."""
+    """(sig, key, weight) of all sets that share enough signatures; the weight tells how much a set shares with others."""
     ranges = max(packed.number_of_batches(docs, text) // 4, 2 * docs.sparkSession.sparkContext.defaultParallelism)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,13 +176,14 @@ def _groups(docs: DataFrame, text: str, width: int, bands: Bands) -> DataFrame:
     sent = frame.mapInArrow(send, "range int, sigs binary, numbers binary, keys binary, slack binary")
     shared = sent.repartition(ranges, "range").groupBy("range").applyInArrow(_shared, _SHARED)
     rows = kept(shared, "signatures")
-    dense = rows.filter("frequent").groupBy("key", "side").agg(F.count(F.lit(1)).alias("n"), F.max("slack").alias("slack"))
-    bound = dense.filter("n > slack").select("key", "side")
-    usual = rows.filter("not frequent").select("sig", "key")
-    return usual.union(rows.filter("frequent").join(bound, ["key", "side"]).select("sig", "key"))
+    counts = rows.groupBy("key", "side").agg(
+        F.count(F.lit(1)).alias("n"), F.max("slack").alias("slack"), F.sum("size").alias("weight")
+    )
+    enough = counts.filter("n > slack").select("key", "side", "weight")
+    return rows.join(enough, ["key", "side"]).select("sig", "key", "weight")
 
 
-_SHARED = "sig long, key long, side boolean, slack int, frequent boolean"
+_SHARED = "sig long, key long, side boolean, slack int, size int"
 
 
 def _sent(waiting: list, ranges: int) -> pa.RecordBatch:
@@ -233,9 +234,9 @@ def _shared(table: pa.Table) -> Iterator[pa.RecordBatch]:
     new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
     sig, key, side, slack = sig[new], key[new], side[new], slack[new]
     groups = packed.Groups(sig)
-    frequent = groups.spread(groups.sizes() > FREQUENT)
-    columns = [sig.view(np.int64), key.view(np.int64), side, slack.astype(np.int32), frequent]
-    return pa.Table.from_arrays([pa.array(c) for c in columns], ["sig", "key", "side", "slack", "frequent"])
+    size = groups.spread(groups.sizes().astype(np.int32))
+    columns = [sig.view(np.int64), key.view(np.int64), side, slack.astype(np.int32), size]
+    return pa.Table.from_arrays([pa.array(c) for c in columns], ["sig", "key", "side", "slack", "size"])
 
 
 _FILTER_WORDS = 1 << 20
@@ -308,6 +309,56 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(step, "a long, b long")
 
 
+def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between sets of one group (sig, leader a, key) that are in different components so far."""
+    rest = pairs.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
+    rest = rest.select("sig", "a", "key", F.coalesce("label", "key").alias("label"))
+    apart = rest.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
+    rest = kept(rest.join(apart, "sig"), "open")
+    homes = rest.groupBy("key").agg(F.min("a").alias("home"), F.min("label").alias("label"))
+    sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    homes = homes.join(sizes, "home").select("key", "label", F.xxhash64("home", F.pmod(F.xxhash64("key"), "blocks")).alias("block"))
+    homes = kept(homes, "homes")
+    meet = rest.join(homes.select("key", "block"), "key").select("sig", "block").distinct()
+    both = meet.alias("m").join(meet.withColumnRenamed("block", "other"), "sig").filter("block <= other")
+    both = both.select("block", "other").distinct()
+    members = homes.join(sets, "key")
+    left = both.join(members, "block").select(*[F.col(c).alias(c) for c in ("block", "other", "key", "label", "hashes")])
+    # Another projection, so that both sides have columns of their own.
+    second = members.select(*[F.col(c).alias(f"_{c}") for c in ("block", "key", "label", "hashes")])
+    right = both.filter("block < other").join(second, F.col("other") == F.col("_block"))
+    right = right.select(
+        F.col("block").alias("r_block"), F.col("other").alias("r_other"), F.col("_label").alias("label"), F.col("_key").alias("key"), F.col("_hashes").alias("hashes")
+    )
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        x = one.to_pylist()
+        y = two.to_pylist() or x
+        first: dict[tuple[int, int], tuple[int, int]] = {}
+        if len({r["label"] for r in x} | {r["label"] for r in y}) > 1:
+            a = [packed.unpack_sorted(r["hashes"]) for r in x]
+            b = [packed.unpack_sorted(r["hashes"]) for r in y]
+            common = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)))
+            both_ = _incidence(a, common) @ _incidence(b, common).T
+            total = np.array([len(v) for v in a])[:, None] + np.array([len(v) for v in b])[None, :] - both_
+            for i, j in zip(*np.nonzero(100 * both_ >= percent * total)):
+                ends = tuple(sorted((x[i]["label"], y[j]["label"])))
+                if ends[0] != ends[1]:
+                    first.setdefault(ends, (x[i]["key"], y[j]["key"]))
+        return pa.table([pa.array([p[k] for p in first.values()], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return left.groupBy("block", "other").cogroup(right.groupBy("r_block", "r_other")).applyInArrow(compare, "a long, b long")
+
+
+def _incidence(sets: list[np.ndarray], features: np.ndarray) -> np.ndarray:
+    """Sets x features, 1 where a set has the feature; exact up to 2 ** 24 common features."""
+    out = np.zeros((len(sets), len(features)), np.float32)
+    for row, own in zip(out, sets):
+        if len(features):
+            place = np.minimum(np.searchsorted(features, own), len(features) - 1)
+            row[place[features[place] == own]] = 1
+    return out
+
+
 def similar_documents(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -322,27 +373,15 @@ def similar_documents(
     names = kept(shingle_sets(docs, id, text, width), "sets")
     groups = kept(_groups(docs, text, width, bands), "groups")
     sets = kept(_sets_of(docs, groups.select("key").distinct(), text, width), "hashes")
-    links, labels, leaders = None, None, 1
-    while True:
-        if leaders == 1:
-            first = groups.groupBy("sig").agg(F.min("key").alias("a"))
-            pairs = first.join(groups, "sig").filter("a <> key")
-        else:
-            ranked = groups.withColumn("n", F.row_number().over(Window.partitionBy("sig").orderBy("key")))
-            first = ranked.filter(F.col("n") <= leaders).select("sig", F.col("key").alias("a"), F.col("label").alias("own"))
-            pairs = first.join(groups, "sig").filter("a <> key and own <> label")
-        pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
-        found = kept(_linked(pairs, sets, percent), "linked")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        rest = groups.select("sig", "key").join(first.select("sig", F.col("a").alias("key")), ["sig", "key"], "left_anti")
-        rest = rest.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
-        rest = rest.select("sig", "key", F.coalesce("label", "key").alias("label"))
-        open_ = rest.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
-        groups = kept(rest.join(open_, "sig"), "groups")
-        if groups.isEmpty():
-            break
-        leaders *= 8
+    leaders = groups.groupBy("sig").agg(F.max_by("key", F.struct("weight", "key")).alias("a"))
+    pairs = leaders.join(groups, "sig").filter("a <> key").select("sig", "a", "key")
+    pairs = kept(pairs, "pairs")
+    ordered = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+    links = kept(_linked(ordered, sets, percent), "links")
+    labels = components(links)
+    more = kept(_open_links(pairs, labels, sets, percent), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     nodes = names.groupBy("key").agg(F.min("__id").alias("low")).filter("key is not null")
     nodes = nodes.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
     nodes = nodes.select("key", "low", F.coalesce("label", "key").alias("label"))
