@@ -18,17 +18,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablejobs.llm import packed
 from tablejobs.llm.rans import Coder, quantised
+from tablejobs.llm.tokens import unpack_ids
 
-BLOCK_TOKENS = 1 << 18
-LANES = 1024
-CHECKPOINT_STEPS = 64
+BLOCK_TOKENS = 1 << 20
+LANES = 4096
+CHECKPOINT_STEPS = 128
+LEAST_STEPS = 64
 FILE_TOKENS = 1 << 23
 END = 2
 
@@ -57,7 +58,7 @@ _BLOCK_DDL = (
 def _coded(coder: Coder, file: int, before: int, docs: list, ids: list[np.ndarray]) -> dict:
     joined = np.concatenate(ids)
     # Few tokens take few lanes, so that states never outweigh words.
-    lanes = min(LANES, max(1, len(joined) // CHECKPOINT_STEPS))
+    lanes = min(LANES, max(1, len(joined) // LEAST_STEPS))
     words, states, places = coder.encode(joined, lanes, CHECKPOINT_STEPS)
     return {
         "file": file,
@@ -76,9 +77,9 @@ def _coded(coder: Coder, file: int, before: int, docs: list, ids: list[np.ndarra
 
 
 def write_tokens(
-    tokens: DataFrame, counts: DataFrame, n_docs: int, path: str, id: str = "doc_id", ids: str = "ids", end: int = END
+    tokens: DataFrame, counts: DataFrame, n_docs: int, path: str, id: str = "doc_id", ids: str = "packed", end: int = END
 ) -> None:
-    """Writes `tokens` (id, ids as little-endian unsigned 32-bit integers), with the id `end` after each document.
+    """Writes `tokens` (id, packed ids, see `tokens.pack_ids`), with the id `end` after each document.
 
     `counts` (token, n) tells how often each id occurs, without the ends, of which there are `n_docs`. Its rows are bounded by the vocabulary, which
     must fit the table. NULL ids are a document of the end id alone; rows of a repeated document id stay rows of their
@@ -95,23 +96,14 @@ def write_tokens(
     table = pa.table({"frequencies": pa.array([freq.astype("<i4").tobytes()], pa.binary())})
     spark.createDataFrame(table).coalesce(1).write.parquet(f"{path}/table")
     shared = spark.sparkContext.broadcast(Coder(freq))
-    kind = "<u2" if len(freq) <= 1 << 16 else "<u4"
-
-    def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            for part in (batch.slice(i, 200) for i in range(0, batch.num_rows, 200)):
-                small = [squeeze(np.frombuffer(x or b"", "<u4").astype(kind).tobytes()) for x in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(small, pa.binary())], ["id", "ids"])
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, file = shared.value, TaskContext.get().partitionId()
-        grow = zstandard.ZstdDecompressor().decompress
         before, held, docs, waiting = 0, 0, [], []
         for batch in batches:
             for doc, data in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
                 docs.append(doc)
-                waiting.append(np.append(np.frombuffer(grow(data), kind), [end]).astype(np.uint32))
+                waiting.append(np.append(unpack_ids(data), np.uint32(end)))
                 held += len(waiting[-1])
                 if held >= BLOCK_TOKENS:
                     yield pa.RecordBatch.from_pylist([_coded(coder, file, before, docs, waiting)], _BLOCK)
@@ -119,7 +111,7 @@ def write_tokens(
         if docs:
             yield pa.RecordBatch.from_pylist([_coded(coder, file, before, docs, waiting)], _BLOCK)
 
-    small = tokens.select(F.col(id).alias("id"), F.col(ids).alias("ids")).mapInArrow(shrink, "id long, ids binary")
+    small = tokens.select(F.col(id).alias("id"), F.col(ids).alias("ids"))
     ordered = small.repartitionByRange(files, "id").sortWithinPartitions(F.col("id").asc_nulls_first(), "ids")
     ordered.mapInArrow(blocks, _BLOCK_DDL).write.option("compression", "none").parquet(f"{path}/blocks")
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tablejobs.llm import flat, packed
 from tablejobs.llm.links import kept
 
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 5_000_000
 _BATCH = 5_000
 _ANY_SPACE = flat.byte_class((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D))
 # First bytes of characters that are certainly no white space.
@@ -65,6 +65,16 @@ def tokenizer_of(path: str):
     return found
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Ids as compressed integers of 16 or 32 bits; the first byte tells how many bytes each has."""
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return bytes([width]) + _shrunk(ids.astype(f"<u{width}").tobytes())
+
+
+def unpack_ids(data: bytes | None) -> np.ndarray:
+    return np.frombuffer(_grown(data[1:]), f"<u{data[0]}").astype(np.uint32) if data else np.zeros(0, np.uint32)
+
+
 class _Block:
     """Distinct words of some documents by hash, and the documents as places in this list."""
 
@@ -130,10 +140,51 @@ def encode_and_decode(docs: DataFrame, path: str, id: str = "doc_id", text: str
 def encode_and_count(
     docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", split: str = "between"
 ) -> tuple[DataFrame, DataFrame]:
-    """As `encode`, and (token, n): how often each id occurs in all documents, counted on the table of words."""
+    """(id, n_tokens, packed) as `encode` with the ids packed (see `pack_ids`), and (token, n): how often each id occurs in
+    all documents, counted on the table of words."""
     return _encode(docs, path, id, text, split, counted=True)
 
 
+def _ids_of(words: list[str], path: str, split: str) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each word has, and all ids in order.
+
+    Words cut before spaces are joined again, some thousands at a time, which a tokenizer reads faster than single ones:
+    no token crosses a cut, and a word that has its only space in front is where a piece with a space begins.
+    """
+    tokenizer = tokenizer_of(path)
+    sizes, out = np.zeros(len(words), np.int64), np.empty(len(words), object)
+    alone = range(len(words))
+    if split == "before":
+        joined = [i for i, w in enumerate(words) if w[0] == " " and w.count(" ") == 1]
+        single = set(joined)
+        alone = [i for i in alone if i not in single]
+        begins = _begins_with_space(path)
+        for start in range(0, len(joined), _BATCH):
+            part = joined[start : start + _BATCH]
+            ids = np.array(tokenizer.encode("".join([words[i] for i in part]), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(begins[ids])
+            if len(at) != len(part):  # a vocabulary of other rules
+                alone = [*alone, *part]
+                continue
+            sizes[part] = np.diff(np.append(at, len(ids)))
+            for i, own in zip(part, np.split(ids, at[1:])):
+                out[i] = own
+    alone = list(alone)
+    for start in range(0, len(alone), _BATCH):
+        part = alone[start : start + _BATCH]
+        for i, found in zip(part, tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
+            out[i] = found.ids
+            sizes[i] = len(out[i])
+    return sizes, np.concatenate([np.zeros(0, "<u4"), *out]).astype("<u4")
+
+
+@functools.lru_cache(maxsize=2)
+def _begins_with_space(path: str) -> np.ndarray:
+    """Which pieces of a byte-level vocabulary begin with a space."""
+    vocabulary = tokenizer_of(path)
+    return np.array([(vocabulary.id_to_token(i) or "").startswith("\u0120") for i in range(vocabulary.get_vocab_size())])
+
+
 def _encode(
     docs: DataFrame, path: str, id: str, text: str, split: str, counted: bool = False, decoded: bool = False
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -178,15 +229,8 @@ def _encode(
         groups = packed.Groups(words.hashes())
         one = groups.order[groups.begins]
         asked = np.split(groups.spread(np.arange(len(one), dtype=np.int64)), np.cumsum([len(x) for x in lengths])[:-1])
-        tokenizer = tokenizer_of(path)
-        sizes, flat_ids = [], []
-        for start in range(0, len(one), _BATCH):
-            part = [data[a:b].tobytes().decode() for a, b in zip(*(x[one[start : start + _BATCH]].tolist() for x in (words.starts, words.ends)))]
-            for found in tokenizer.encode_batch_fast(part, add_special_tokens=False):
-                own = found.ids
-                sizes.append(len(own))
-                flat_ids.extend(own)
-        sizes, flat_ids = np.array(sizes, np.int64), np.array(flat_ids, "<u4")
+        part = [data[a:b].tobytes().decode() for a, b in zip(words.starts[one].tolist(), words.ends[one].tolist())]
+        sizes, flat_ids = _ids_of(part, path, split)
         first = np.concatenate([[0], np.cumsum(sizes)])
         out, often = [], np.zeros(len(one), np.int64)
         for row, at in zip(rows, asked):
@@ -217,12 +261,13 @@ def _encode(
             at = packed.unpack_numbers(_grown(row["places"])).astype(np.int64)
             ends = np.cumsum(np.frombuffer(row["counts"], "<i8"))
             total = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], ends])]
-            data = tokens[spread(first[at], sizes[at])].tobytes()
+            found = tokens[spread(first[at], sizes[at])]
             ids += row["ids"]
             counts += np.diff(total).tolist()
-            texts += [data[4 * a : 4 * b] for a, b in zip(total[:-1].tolist(), total[1:].tolist())]
+            bounds = zip(total[:-1].tolist(), total[1:].tolist())
+            texts += [pack_ids(found[a:b]) if counted else found[a:b].tobytes() for a, b in bounds]
         columns = [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(texts, pa.binary())]
-        names = ["__id", "n_tokens", "ids"]
+        names = ["__id", "n_tokens", "packed" if counted else "ids"]
         if decoded:
             columns.append(pa.array([_text(data, shared.value) for data in texts], pa.string()))
             names.append("decoded")
@@ -244,7 +289,7 @@ def _encode(
         answers = answers.filter("block is not null")
     sent = frame.mapInArrow(places, "block long, ids array<long>, counts binary, places binary, n_words long")
     both = sent.repartition(ranges, "block").groupBy("block").cogroup(answers.groupBy("block"))
-    found = both.applyInArrow(looked_up, "__id long, n_tokens long, ids binary" + ", decoded string" * decoded)
+    found = both.applyInArrow(looked_up, f"__id long, n_tokens long, {'packed' if counted else 'ids'} binary" + ", decoded string" * decoded)
     return found.withColumnRenamed("__id", id), counts
 
 
