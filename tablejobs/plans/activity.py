@@ -38,8 +38,6 @@ EDGES = (
     Edge("typ", "dl_TIMContactEventType", "ev.myContactEventType", "typ.oid"),
     Edge("sts", "dl_TIMContactEventStatus", "ev.myContactEventStatus", "sts.oid"),
     Edge("usr", "dl_TIMContactTypeUser", "ev.myUser", "usr.oid"),
-    # No column of it is kept; it repeats an event if an individual is not unique in the input.
-    Edge("indv", "dl_TIMContactIndividual", "ev.myContactToFrom", "indv.oid"),
 )
 
 # Output columns in order with their sources; those without one are not defined yet.

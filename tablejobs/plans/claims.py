@@ -54,18 +54,15 @@ TABLES = (
     _input("dl_TIMLiabilityRejectReason", "aDescription"),
 )
 
+# Tables whose columns the output has; the others of TABLES are unique by key, so a left join of them would change nothing.
 EDGES = (
-    Edge("policy", "dl_TIMPolicy", "claim.myPolicy", "policy.oid"),
     Edge("decline", "dl_TIMReasonForDecline", "claim.myReasonForDecline", "decline.oid"),
     Edge("accident", "dl_CTPAccident", "claim.myAccident", "accident.oid"),
     Edge("address", "dl_TIMAddress", "accident.myAccidentLocation", "address.oid"),
     Edge("state", "dl_TIMState", "address.myState", "state.oid"),
     Edge("change", "dl_TIMProfileHistoryStatus", "claim.oid", "change.myClaim"),
     Edge("reopen", "dl_TIMClaimStatusHistoryReopen", "change.myStatusChangeReason", "reopen.oid"),
-    Edge("finalise", "dl_TIMClaimStatusHistoryFinalise", "change.myStatusChangeReason", "finalise.oid"),
     Edge("status", "dl_TIMClaimStatus", "claim.myClaimStatus", "status.oid"),
-    Edge("profile", "dl_CARClaimProfileCode", "claim.myClaimProfile", "profile.oid"),
-    Edge("reject", "dl_TIMLiabilityRejectReason", "claim.myLiabilityRejectReason", "reject.oid"),
 )
 
 # Business columns of the output in order; the audit columns follow them.

@@ -14,7 +14,7 @@ from tablejobs.sources.snapshots import NOT_DELETED, TableSpec, load_snapshots,
 
 # Input tables with the columns the job reads. Processes come from a second database.
 LOG_TABLES = (
-    log_table("dl_TIMWflProcess", "aUniqueID", "Claim", database="{db_env}_gi_lak_kondu"),
+    log_table("dl_TIMWflProcess", "aUniqueID", "Claim", database="{db_env}_workflow"),
     log_table("dl_TIMPolicyClaim", "aClaimNumber", "Accident Policy"),
     log_table("dl_TIMWflActivity", "aUniqueID", "WflProcess"),
     log_table(
@@ -94,7 +94,7 @@ def _changes(
         number.alias("wrkflw_no"),
         F.col("change.oid_instid").alias("hist_id"),
         F.lit(kind).alias("wrkflw_hist_type"),
-        F.col(time).cast("timestamp").alias("wrkflw_hist_time_dt"),
+        F.col(time).try_cast("timestamp").alias("wrkflw_hist_time_dt"),
         F.col(old).cast("string").alias("wrkflw_hist_frm_stat"),
         F.col(new).cast("string").alias("wrkflw_hist_to_stat"),
         F.col("reason.aName").alias("wrkflw_hist_rs"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,10 +98,15 @@ class HubJob:
     def from_config(
         cls, name: str, config: Mapping[str, str], tables: Iterable[TableSpec], transform: Transform, types: Mapping[str, str]
     ) -> HubJob:
-        """A job from one block of a configuration file: `target_db`, `target_tbl`, `TARGET`, `granularity_keys`.
+        """A job from one block of a configuration file: `target_db`, `target_tbl`, `TARGET`, `granularity_keys`, `partitions`.
 
-        `TARGET` is the comma-separated column list; `types` gives the types, text where it has none.
+        `TARGET`, the keys and the partition columns are comma-separated lists; `types` gives the types, text where it has
+        none.
         """
+
+        def listed(key: str) -> tuple[str, ...]:
+            return tuple(k.strip() for k in config.get(key, "").split(",") if k.strip())
+
         columns = [c.strip() for c in config["TARGET"].split(",")]
         return cls(
             name,
@@ -108,21 +114,42 @@ class HubJob:
             transform,
             {c: types.get(c, "string") for c in columns},
             f"{config['target_db']}.{config['target_tbl']}",
-            tuple(k.strip() for k in config.get("granularity_keys", "").split(",") if k.strip()),
+            listed("granularity_keys"),
+            listed("partitions"),
             options=dict(config),
         )
 
+    def located(self, databases: Mapping[str, str], target_table: str | None = None) -> HubJob:
+        """The job over a site's own databases (by the neutral names) and target table."""
+
+        def moved(name: str) -> str:
+            database, _, table = name.rpartition(".")
+            return f"{databases.get(database, database)}.{table}"
+
+        tables = tuple(replace(t, name=moved(t.name)) for t in self.tables)
+        return replace(self, tables=tables, target_table=target_table or moved(self.target_table))
+
     def build(
-        self, spark: SparkSession, env: str | None = None, read: Callable[[str], DataFrame] | None = None
+        self,
+        spark: SparkSession,
+        env: str | None = None,
+        read: Callable[[str], DataFrame] | None = None,
+        load_dt: DateLike = None,
     ) -> DataFrame:
-        """The hub table's rows, in its layout."""
+        """The hub table's rows, in its layout, as loaded on `load_dt` (today without it)."""
         read = read or (lambda name: scan(spark, name))
         inputs = load_snapshots(spark, self.tables, env, self.dedup, read)
         counts = []
         for spec in self.tables:
             if short_name(spec.name) == self.versioned:
                 counts.append(version_counts(read(qualify(spec.name, env)), spec.keys))
-        return conform(self.transform(inputs, *counts), self.target)
+        dated = {"load_dt": load_dt} if "load_dt" in signature(self.transform).parameters else {}
+        return conform(self.transform(inputs, *counts, **dated), self.target)
 
     def write(self, df: DataFrame, env: str | None = None, path: str | None = None) -> None:
+        """Writes the rows after a check of the job's granularity: keys found twice are an error."""
+        if self.granularity:
+            twice = duplicate_keys(df, self.granularity).count()
+            if twice:
+                raise ValueError(f"{self.name}: {twice} keys of ({', '.join(self.granularity)}) occur more than once")
         write_hub(df, None if path else qualify(self.target_table, env), path, self.partitions)

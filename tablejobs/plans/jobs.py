@@ -5,7 +5,8 @@ from __future__ import annotations
 from tablejobs.plans import activity, claims, history, legal
 from tablejobs.plans.hub import PARTITIONS, HubJob
 
-# Target tables and uniqueness keys.
+# Target tables and input databases are neutral names; `HubJob.located` puts a site's own in their place. Uniqueness keys are
+# fixed values.
 JOBS = {
     job.name: job
     for job in (
@@ -14,14 +15,14 @@ JOBS = {
             activity.TABLES,
             activity.activity_details,
             activity.TARGET,
-            "{db_env}_gi_hub_ctp.hub_pimsctp_workflow_activity_details",
+            "{db_env}_hub.workflow_activity_details",
         ),
         HubJob(
             "workflow_history",
             history.tables_for("none"),
             history.workflow_history,
             history.TARGET,
-            "{db_env}_gi_hub_ctp.hub_pimsctp_workflow_history_no_dedup",
+            "{db_env}_hub.workflow_history",
             dedup="none",
         ),
         HubJob(
@@ -29,7 +30,7 @@ JOBS = {
             legal.TABLES,
             legal.legal_contacts,
             legal.TARGET,
-            "{db_env}_gi_hub_ctp.hub_pimsctp_legal",
+            "{db_env}_hub.legal_contacts",
             ("source", "clm_no", "legl_aCode", "legl_rank_first"),
         ),
         HubJob(
@@ -37,7 +38,7 @@ JOBS = {
             claims.TABLES,
             claims.claims,
             claims.TARGET,
-            "{db_env}_gi_hub_ctp.hub_pimsctp_claims",
+            "{db_env}_hub.claims",
             claims.GRANULARITY,
             PARTITIONS,
             versioned="dl_TIMPolicyClaim",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,13 +30,6 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder named by `spark.checkpoint.dir`.
-
-    Only where the session names none (a local run) does it fall back to the machine's temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A new path below the shared folder that `spark.checkpoint.dir` names, or below the session's warehouse folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib
 import json
+import os
+import re
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -97,25 +99,23 @@ class CellClient(Protocol):
 
 
 class FolderClient:
-    """Client that keeps cells as Parquet files in the shared folder `path`, a path or a URI.
+    """Client that keeps cells as Parquet files in the shared folder `path`, a URI.
 
-    Batches are gathered to files of FILE_BYTES, so a partition makes few files. A file gets its name
-    once it is complete; until then Spark's readers do not see it. Files of repeated tasks repeat cells
-    of the same version, which `latest_cells` resolves.
+    Batches are gathered to files of FILE_BYTES, so a partition makes few files. Files stay hidden from Spark's readers until
+    the job commits them, and go with a task or job that fails.
     """
 
     def __init__(self, options: Mapping[str, str]):
-        path = options["path"]
-        if "://" in path:
-            self.files, self.folder = fs.FileSystem.from_uri(path)
-        else:
-            self.files, self.folder = fs.LocalFileSystem(), path.removeprefix("file:")
+        self.files, self.folder = fs.FileSystem.from_uri(options["path"])
         self.files.create_dir(self.folder, recursive=True)
         self.waiting: list[pa.RecordBatch] = []
+        self.size = 0
+        self.names: list[str] = []
 
     def write(self, batch: pa.RecordBatch) -> None:
         self.waiting.append(batch)
-        if sum(b.nbytes for b in self.waiting) >= FILE_BYTES:
+        self.size += batch.nbytes
+        if self.size >= FILE_BYTES:
             self._flush()
 
     def close(self) -> None:
@@ -124,9 +124,18 @@ class FolderClient:
 
     def _flush(self) -> None:
         name = f"{uuid.uuid4().hex}.parquet"
+        self.names.append(name)
         pq.write_table(pa.Table.from_batches(self.waiting), f"{self.folder}/_{name}", filesystem=self.files)
-        self.files.move(f"{self.folder}/_{name}", f"{self.folder}/cells-{name}")
-        self.waiting = []
+        self.waiting, self.size = [], 0
+
+    def publish(self, names: Sequence[str]) -> None:
+        for name in names:
+            self.files.move(f"{self.folder}/_{name}", f"{self.folder}/cells-{name}")
+
+    def discard(self, names: Sequence[str]) -> None:
+        for name in names:
+            if self.files.get_file_info(f"{self.folder}/_{name}").type != fs.FileType.NotFound:
+                self.files.delete_file(f"{self.folder}/_{name}")
 
 
 def _open_client(options: Mapping[str, str]) -> CellClient:
@@ -140,6 +149,7 @@ def _open_client(options: Mapping[str, str]) -> CellClient:
 @dataclass
 class Written(WriterCommitMessage):
     cells: int
+    files: tuple[str, ...] = ()
 
 
 class CellWriter(DataSourceArrowWriter):
@@ -147,6 +157,7 @@ class CellWriter(DataSourceArrowWriter):
         self.options = dict(options)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        """One client takes the partition. A task that fails writes nothing more and takes its files back."""
         client = _open_client(self.options)
         count = 0
         try:
@@ -154,9 +165,24 @@ class CellWriter(DataSourceArrowWriter):
                 if batch.num_rows:
                     client.write(batch)
                     count += batch.num_rows
-        finally:
             client.close()
-        return Written(count)
+        except BaseException:
+            if isinstance(client, FolderClient):
+                client.discard(client.names)
+            raise
+        return Written(count, tuple(getattr(client, "names", ())))
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Files of the tasks that count get their names; those of repeated tasks stay hidden."""
+        self._settle(messages, FolderClient.publish)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        self._settle(messages, FolderClient.discard)
+
+    def _settle(self, messages: list[WriterCommitMessage | None], what) -> None:
+        if not self.options.get("client"):
+            names = [name for m in messages if m is not None for name in m.files]
+            what(FolderClient(self.options), names)
 
 
 class CellSource(DataSource):
@@ -179,6 +205,16 @@ class CellSource(DataSource):
         return CellWriter({k: v for k, v in self.options.items()})
 
 
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system: its own, or else the one that the session's warehouse is in."""
+    if re.match("[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return re.sub("^file:/*", "file:///", path)
+    base = spark.conf.get("spark.sql.warehouse.dir")
+    scheme = re.match("([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)", base)
+    prefix = f"{scheme[1]}://{scheme[2]}" if scheme else "file://"
+    return f"{prefix}{os.path.abspath(path) if prefix == 'file://' else path}"
+
+
 def register_cells(spark: SparkSession) -> None:
     """Makes the format known to the session; executors need not have this package installed."""
     cloudpickle.register_pickle_by_value(importlib.import_module(__name__))
@@ -190,5 +226,7 @@ def send_cells(cells: DataFrame, **options: Any) -> None:
     register_cells(cells.sparkSession)
     if VERSION not in cells.columns:
         cells = cells.withColumn(VERSION, F.current_timestamp())
+    if "path" in options:
+        options["path"] = shared_uri(cells.sparkSession, str(options["path"]))
     complete = cells.select(*CELL, "value", F.col(VERSION).cast("timestamp").alias(VERSION))
     complete.write.format("cells").options(**options).mode("append").save()

@@ -39,7 +39,7 @@ def log_table(
     name: str,
     attributes: str = "",
     references: str = "",
-    database: str = "{db_env}_gi_lak_pims",
+    database: str = "{db_env}_claims",
     keys: tuple[str, ...] = OBJECT_ID,
     condition: str | None = NOT_DELETED,
     with_operation: bool = True,

@@ -49,11 +49,11 @@ THING = log_table("things", "aName", "Owner")
 
 
 def test_spec_columns():
-    assert THING.name == "{db_env}_gi_lak_pims.things"
+    assert THING.name == "{db_env}_claims.things"
     assert THING.columns == (
         "_timestamp", "oid_clsno", "oid_instid", "_operation", "aName", "myOwner_clsno", "myOwner_instid"
     )
-    assert qualify(THING.name, "dev") == "dev_gi_lak_pims.things" and short_name(THING.name) == "things"
+    assert qualify(THING.name, "dev") == "dev_claims.things" and short_name(THING.name) == "things"
     with pytest.raises(ValueError, match="environment"):
         qualify(THING.name)
 
@@ -316,18 +316,22 @@ def test_audit_without_versions(spark):
 def test_job_builds_and_writes_by_partition(spark, tmp_path):
     job = HubJob.from_config(
         "things",
-        {"target_db": "{db_env}_hub", "target_tbl": "things", "TARGET": "thing,source_system_cd,active_ym", "granularity_keys": "thing"},
+        {"target_db": "{db_env}_hub", "target_tbl": "things", "TARGET": "thing,source_system_cd,active_ym", "granularity_keys": "thing", "partitions": "source_system_cd, active_ym"},
         [TableSpec("{db_env}_log.things", ("oid_instid", "_timestamp", "aName"))],
         lambda ds: with_audit(ds["things"].withColumn("thing", F.col("oid_instid")), ["thing"]),
         {"thing": "bigint"},
     )
     assert (job.granularity, job.target_table) == (("thing",), "{db_env}_hub.things")
-    job = replace(job, partitions=("source_system_cd", "active_ym"))
     first = {"things": log(spark, THING, (1, "2024-01-05", "U", {}), (2, "2024-02-05", "U", {}))}
     second = {"things": log(spark, THING, (3, "2024-02-06", "U", {}))}
     path = str(tmp_path / "hub")
     for inputs in (first, second):
         job.write(job.build(spark, "dev", reader_of(inputs)), path=path)
+    twice = job.build(spark, "dev", reader_of(first))
+    with pytest.raises(ValueError, match="things: 2 keys of .thing. occur more than once"):
+        job.write(twice.union(twice), path=path)
+    moved = job.located({"{db_env}_log": "site_log", "{db_env}_hub": "site_hub"})
+    assert (moved.tables[0].name, moved.target_table) == ("site_log.things", "site_hub.things")
     schema = "thing bigint, source_system_cd string, active_ym string"
     assert rows(spark.read.schema(schema).parquet(path)) == [(1, "PIMS", "202401"), (3, "PIMS", "202402")]
 

@@ -59,6 +59,15 @@ def test_upsert_is_idempotent_and_keeps_the_latest(spark, tmp_path):
     ]
 
 
+def test_a_failed_write_leaves_no_cells(spark, people, tmp_path):
+    folder = tmp_path / "store"
+    cells = to_cells(people.repartition(2), "id", ["name", "size"])
+    bad = cells.withColumn("value", F.when(F.col("qualifier") == "size", F.raise_error(F.lit("broken")).cast("binary")).otherwise(F.col("value")))
+    with pytest.raises(PySparkException):
+        send_cells(bad, path=str(folder))
+    assert not [f for f in folder.glob("*") if f.suffix == ".parquet"]
+
+
 class JsonClient:
     """A client of another store: one file per partition."""
 
@@ -120,14 +129,11 @@ def test_hub_table_keeps_other_partitions(spark, tmp_path):
         write_hub(rows_of((1, "a", "b")))
 
 
-def session_with(folder, master="local[2]"):
-    conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
 def test_scratch_folder_follows_the_session():
-    first, second = (scratch_dir(session_with("/shared/x/", "yarn"), "a") for _ in range(2))
+    def session_with(folder):
+        known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: known[key] or default))
+
+    first, second = (scratch_dir(session_with("/shared/x/"), "a") for _ in range(2))
     assert first.startswith("/shared/x/a-") and first != second
-    assert scratch_dir(session_with(None), "b").startswith("/tmp/run-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(session_with(None, "yarn"), "b")
+    assert scratch_dir(session_with(None), "b").startswith("hdfs://shared/warehouse/scratch/b-")
