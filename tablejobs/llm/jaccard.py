@@ -33,7 +33,8 @@ from tablejobs.llm.links import components, kept
 SHINGLE = 5
 PERCENT = 80
 # Sets in a block of the comparisons that are open after the leaders'. The result does not depend on it.
-BLOCK = 128
+BLOCK = 512
+_STEP = 64
 _LARGEST = 1 << 31
 
 
@@ -235,6 +236,7 @@ def _shared(table: pa.Table) -> Iterator[pa.RecordBatch]:
     sig, key, side, slack = sig[new], key[new], side[new], slack[new]
     groups = packed.Groups(sig)
     size = groups.spread(groups.sizes().astype(np.int32))
+    flat.release()
     columns = [sig.view(np.int64), key.view(np.int64), side, slack.astype(np.int32), size]
     return pa.Table.from_arrays([pa.array(c) for c in columns], ["sig", "key", "side", "slack", "size"])
 
@@ -310,12 +312,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between sets of one group (sig, leader a, key) that are in different components so far."""
+    """Links (a, b) between sets of one group (sig, key, its leader `top`) that are in different components so far."""
     rest = pairs.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
-    rest = rest.select("sig", "a", "key", F.coalesce("label", "key").alias("label"))
+    rest = rest.select("sig", "top", "key", F.coalesce("label", "key").alias("label"))
     apart = rest.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
     rest = kept(rest.join(apart, "sig"), "open")
-    homes = rest.groupBy("key").agg(F.min("a").alias("home"), F.min("label").alias("label"))
+    homes = rest.groupBy("key").agg(F.max("top")["key"].alias("home"), F.min("label").alias("label"))
     sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     homes = homes.join(sizes, "home").select("key", "label", F.xxhash64("home", F.pmod(F.xxhash64("key"), "blocks")).alias("block"))
     homes = kept(homes, "homes")
@@ -337,13 +339,16 @@ def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
         if len({r["label"] for r in x} | {r["label"] for r in y}) > 1:
             a = [packed.unpack_sorted(r["hashes"]) for r in x]
             b = [packed.unpack_sorted(r["hashes"]) for r in y]
-            common = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)))
-            both_ = _incidence(a, common) @ _incidence(b, common).T
-            total = np.array([len(v) for v in a])[:, None] + np.array([len(v) for v in b])[None, :] - both_
-            for i, j in zip(*np.nonzero(100 * both_ >= percent * total)):
-                ends = tuple(sorted((x[i]["label"], y[j]["label"])))
-                if ends[0] != ends[1]:
-                    first.setdefault(ends, (x[i]["key"], y[j]["key"]))
+            size_b = np.array([len(v) for v in b])[None, :]
+            for low in range(0, len(a), _STEP):
+                part = a[low : low + _STEP]
+                common = np.unique(np.concatenate(part))
+                both_ = _incidence(part, common) @ _incidence(b, common).T
+                total = np.array([len(v) for v in part])[:, None] + size_b - both_
+                for i, j in zip(*np.nonzero(100 * both_ >= percent * total)):
+                    ends = tuple(sorted((x[low + i]["label"], y[j]["label"])))
+                    if ends[0] != ends[1]:
+                        first.setdefault(ends, (x[low + i]["key"], y[j]["key"]))
         return pa.table([pa.array([p[k] for p in first.values()], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return left.groupBy("block", "other").cogroup(right.groupBy("r_block", "r_other")).applyInArrow(compare, "a long, b long")
@@ -371,12 +376,13 @@ def similar_documents(
     """
     bands = Bands(percent)
     names = kept(shingle_sets(docs, id, text, width), "sets")
-    groups = kept(_groups(docs, text, width, bands), "groups")
-    sets = kept(_sets_of(docs, groups.select("key").distinct(), text, width), "hashes")
-    leaders = groups.groupBy("sig").agg(F.max_by("key", F.struct("weight", "key")).alias("a"))
-    pairs = leaders.join(groups, "sig").filter("a <> key").select("sig", "a", "key")
-    pairs = kept(pairs, "pairs")
-    ordered = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+    groups = _groups(docs, text, width, bands)
+    leaders = groups.groupBy("sig").agg(F.max(F.struct("weight", "key")).alias("top"))
+    # The leader's own rows are in it too.
+    led = kept(groups.drop("weight").join(leaders, "sig").select("sig", "key", "top"), "groups")
+    sets = kept(_sets_of(docs, led.select("key").distinct(), text, width), "hashes")
+    pairs = led.filter("top.key <> key")
+    ordered = pairs.select(F.least("top.key", "key").alias("a"), F.greatest("top.key", "key").alias("b")).distinct()
     links = kept(_linked(ordered, sets, percent), "links")
     labels = components(links)
     more = kept(_open_links(pairs, labels, sets, percent), "links")

@@ -11,7 +11,7 @@ from tablejobs.session import scratch_dir
 def kept(df: DataFrame, label: str) -> DataFrame:
     """`df` written once to the shared scratch folder and read again: cuts the lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
