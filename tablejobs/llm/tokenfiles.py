@@ -27,8 +27,8 @@ from tablejobs.llm.rans import Coder, quantised
 from tablejobs.llm.tokens import unpack_ids
 
 BLOCK_TOKENS = 1 << 20
-LANES = 4096
-CHECKPOINT_STEPS = 128
+LANES = 2048
+CHECKPOINT_STEPS = 256
 LEAST_STEPS = 64
 FILE_TOKENS = 1 << 23
 END = 2
