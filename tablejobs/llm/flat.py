@@ -7,6 +7,8 @@ holds at least one whole document and at most `limit` bytes beyond it.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -76,6 +78,23 @@ def pieces(
             low, high = offsets[start], offsets[stop]
             yield batch.slice(start, stop - start), data[low:high], offsets[start : stop + 1] - low
             start = stop
+        data = offsets = None
+        release()
+
+
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def release() -> None:
+    """Gives freed memory back to the system: idle Python workers stay around beside the busy ones."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
