@@ -215,18 +215,25 @@ def _sent(waiting: list, ranges: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
 
-def _shared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+def _shared(table: pa.Table) -> pa.Table:
     """The entries of a range whose signature belongs to two sets or more."""
-    sigs, keys, sides, slacks = [], [], [], []
-    for row in table.to_pylist():
-        number = packed.unpack_numbers(row["numbers"]).astype(np.int64)
+    rows = table.to_pylist()
+    sigs = [packed.unpack_sorted(row["sigs"]) for row in rows]
+    groups = packed.Groups(np.concatenate(sigs), 48)
+    more = np.split(groups.spread(groups.sizes() > 1), np.cumsum([len(x) for x in sigs])[:-1])
+    groups = None
+    # Most signatures occur once; what goes with them is not unpacked.
+    kept_sigs, keys, sides, slacks = [], [], [], []
+    for row, own_sigs, wanted in zip(rows, sigs, more):
+        number = packed.unpack_numbers(row["numbers"])[wanted].astype(np.int64)
         own, side = number // 2, number % 2
-        sigs.append(packed.unpack_sorted(row["sigs"]))
+        kept_sigs.append(own_sigs[wanted])
         keys.append(np.frombuffer(row["keys"], "<u8")[own])
         slacks.append(np.frombuffer(row["slack"], np.int8).reshape(2, -1)[side, own])
         sides.append(side.astype(bool))
-    sig, key, side, slack = map(np.concatenate, (sigs, keys, sides, slacks))
-    groups = packed.Groups(sig)
+    sig, key, side, slack = map(np.concatenate, (kept_sigs, keys, sides, slacks))
+    rows = sigs = more = None
+    groups = packed.Groups(sig, 48)
     several = groups.spread(groups.reduce(np.minimum, key) != groups.reduce(np.maximum, key))
     sig, key, side, slack = sig[several], key[several], side[several], slack[several]
     order = np.lexsort((key, sig))
