@@ -125,6 +125,24 @@ def interval_join_months(spark, sf):
     return interval_join(month_spine(spark, sf), intervals, ["indiv_id"], "greg_date", "tx_date", "nxt_tx_dt", RUN_DATE)
 
 
+DAYS_SQL = f"""SELECT DISTINCT 10000000 + o_custkey AS indiv_id, d AS greg_date FROM orders,
+  (SELECT CAST(unnest(generate_series({START}, {RUN}, INTERVAL 1 DAY)) AS DATE) AS d)"""
+
+
+@query(
+    "interval_join_days",
+    f"""SELECT p.indiv_id, p.greg_date, i.tx_date, i.nxt_tx_dt FROM ({DAYS_SQL}) p
+LEFT JOIN ({_intervals_sql('indiv_id')}) i
+  ON p.indiv_id = i.indiv_id AND p.greg_date BETWEEN i.tx_date AND i.nxt_tx_dt""",
+)
+def interval_join_days(spark, sf):
+    """`interval_join` on every day of the look-back."""
+    tx = total_tx(spark, sf)
+    intervals = job.purchase_intervals(tx).select("indiv_id", "tx_date", "nxt_tx_dt")
+    spine = job.customer_spine(tx, RUN_DATE)
+    return interval_join(spine, intervals, ["indiv_id"], "greg_date", "tx_date", "nxt_tx_dt", RUN_DATE)
+
+
 @query(
     "roll_up",
     f"""SELECT p.indiv_id, p.greg_date, t.* EXCLUDE (indiv_id), m.* EXCLUDE (indiv_id), s.* EXCLUDE (indiv_id)
@@ -146,6 +164,28 @@ def roll_up(spark, sf):
     )
 
 
+@query(
+    "roll_up_days",
+    f"""SELECT p.indiv_id, p.greg_date, t.* EXCLUDE (indiv_id), m.* EXCLUDE (indiv_id), s.* EXCLUDE (indiv_id)
+FROM ({DAYS_SQL}) p
+JOIN ({_intervals_sql('indiv_id')}) t ON p.indiv_id = t.indiv_id AND p.greg_date BETWEEN t.tx_date AND t.nxt_tx_dt
+LEFT JOIN ({_intervals_sql('indiv_id', "prch_chnl_cd = 'F'", '_mcom')}) m
+  ON p.indiv_id = m.indiv_id AND p.greg_date BETWEEN m.tx_date_mcom AND m.nxt_tx_dt_mcom
+LEFT JOIN ({_intervals_sql('indiv_id', "prch_chnl_cd = 'A'", '_store')}) s
+  ON p.indiv_id = s.indiv_id AND p.greg_date BETWEEN s.tx_date_store AND s.nxt_tx_dt_store""",
+)
+def roll_up_days(spark, sf):
+    """`roll_up` on every day of the look-back."""
+    tx = total_tx(spark, sf)
+    return job.roll_up(
+        job.customer_spine(tx, RUN_DATE),
+        job.purchase_intervals(tx),
+        job.purchase_intervals(tx, channel=job.WEB),
+        job.purchase_intervals(tx, channel=job.STORE),
+        run_date=RUN_DATE,
+    )
+
+
 @query(
     "asof_latest_purchase",
     f"""WITH days AS (SELECT DISTINCT indiv_id, CAST(txn_dt AS DATE) AS d, prch_chnl_cd, rtl_divn_nbr FROM ({SALES_SQL}))
@@ -295,6 +335,15 @@ def pick_daily(spark, sf):
     return job.pick_daily(job.label_days(roll_up(spark, sf)))
 
 
+@query(
+    "pick_daily_days",
+    f"""WITH {_days_sql('indiv_id')} SELECT labelled.indiv_id, day AS greg_date, {LABELS}, {LAST} FROM labelled""",
+)
+def pick_daily_days(spark, sf):
+    """`pick_daily` on every day of the look-back, purchase days among them."""
+    return job.pick_daily(job.label_days(roll_up_days(spark, sf)))
+
+
 @query(
     "product_hierarchy",
     f"""SELECT indiv_id, pdiv_id, rtl_divn_nbr, n.name AS FILTER_LEVEL, CASE WHEN {FLAG_SQL} THEN 1 ELSE 0 END AS Attr_Flag,
