@@ -2,8 +2,10 @@
 
 A document is a bag of words, each written in one language of the mixture. The likelihood of a word in a language is the
 product of the probabilities of its letter trigrams there. Expectation-maximisation estimates the shares of the
-languages in the document. Then nested sets of languages, by falling share, are fitted again, and the set with the
-largest penalised likelihood stays: each language more must gain PENALTY times the logarithm of the number of words.
+languages in the document. Then nested sets of languages, by falling share, are fitted again, up to all whose share is
+above LEAST_SHARE, and the set with the largest penalised likelihood stays: each language more must gain PENALTY times
+the logarithm of the number of words. No set has a likelihood above 0 here, so the search ends where the penalty of one
+language more is beyond the best value.
 
 Trigrams are hashed into BUCKETS cells, so a model has a fixed size for each language. Learning is a map-side reduced
 count by language and cell; prediction reads the model from a broadcast and shuffles nothing.
@@ -26,7 +28,7 @@ from tablejobs.llm import flat
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 ROUNDS, REFITS = 10, 5
-LARGEST_SET = 4
+LEAST_SHARE = 1e-6
 PENALTY = 1.5
 # Rows that a model is learnt from at most, about; a larger set is sampled by a hash of the id.
 FIT_ROWS = 200_000
@@ -131,20 +133,28 @@ def _mixtures(model: Model, letters: _Letters) -> tuple[np.ndarray, np.ndarray]:
     share = np.full((len(model.languages), len(docs)), 1 / len(model.languages), np.float32)
     share = _em(likely, share, counts, first, ROUNDS)
     order = np.argsort(-share, axis=0, kind="stable")
+    ranked = np.take_along_axis(share, order, axis=0)
     chosen, value = np.zeros_like(share), np.full(len(docs), -np.inf)
     penalty = PENALTY * np.log(counts + 1.0)
-    for size in range(1, min(LARGEST_SET, len(model.languages)) + 1):
-        own = np.zeros_like(share)
-        for rank in range(size):
-            own[order[rank], np.arange(len(docs))] = np.maximum(share[order[rank], np.arange(len(docs))], 1e-6)
+    for size in range(1, len(model.languages) + 1):
+        open_ = value < -penalty * (size - 1)
+        if size > 1:
+            open_ &= ranked[size - 1] > LEAST_SHARE
+        left = np.flatnonzero(open_)
+        if not len(left):
+            break
+        words, n = likely[:, np.repeat(open_, counts)], counts[left]
+        begin = np.cumsum(n) - n
+        own = np.zeros((len(share), len(left)), share.dtype)
+        np.put_along_axis(own, order[:size, left], np.maximum(ranked[:size, left], LEAST_SHARE), axis=0)
         own /= own.sum(axis=0)
         if size > 1:
-            own = _em(likely, own, counts, first, REFITS)
-        fitted = np.log(np.maximum((likely * np.repeat(own, counts, axis=1)).sum(axis=0), 1e-35), dtype=np.float64)
-        now = np.add.reduceat(fitted, first) - penalty * (size - 1)
-        better = now > value
-        value[better] = now[better]
-        chosen[:, better] = own[:, better]
+            own = _em(words, own, n, begin, REFITS)
+        fitted = np.log(np.maximum((words * np.repeat(own, n, axis=1)).sum(axis=0), 1e-35), dtype=np.float64)
+        now = np.add.reduceat(fitted, begin) - penalty[left] * (size - 1)
+        better = now > value[left]
+        value[left[better]] = now[better]
+        chosen[:, left[better]] = own[:, better]
     return chosen, docs
 
 
@@ -173,7 +183,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             for n, d in enumerate(rows.tolist()):
                 if seen[d] == seen[d + 1] and not any(c.isalpha() for c in data[offsets[d] : offsets[d + 1]].tobytes().decode()):
                     continue
-                top = [k for k in order[:LARGEST_SET, n].tolist() if chosen[k, n] > 0]
+                top = order[: np.count_nonzero(chosen[:, n]), n].tolist()
                 shares = [min(float(chosen[k, n]), 1.0) for k in top]
                 found[d] = (own.languages[top[0]], shares[0], [own.languages[k] for k in top], shares)
             types = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
