@@ -13,7 +13,6 @@ count by language and cell; prediction reads the model from a broadcast and shuf
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -30,8 +29,6 @@ SMOOTHING = 0.5
 ROUNDS, REFITS = 10, 5
 LEAST_SHARE = 1e-6
 PENALTY = 1.5
-# Rows that a model is learnt from at most, about; a larger set is sampled by a hash of the id.
-FIT_ROWS = 200_000
 MAX_LANGUAGES = 100
 UNKNOWN = "und"
 
@@ -66,22 +63,17 @@ class _Letters:
         self.doc_first = words.first
 
 
-def fit(
-    docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", rows: int = FIT_ROWS, languages: int = MAX_LANGUAGES
-) -> Model:
-    """A model of the languages in `lang`, from rows whose text and language are given.
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", languages: int = MAX_LANGUAGES) -> Model:
+    """A model of the languages in `lang`, from all rows whose text and language are given.
 
-    Of more than `rows` such rows a sample of about so many is taken, by a hash of `id`. More than `languages` languages
-    are an error, as each takes BUCKETS cells of the model. No rows give a model without languages.
+    More than `languages` languages are an error, as each takes BUCKETS cells of the model. No rows give a model without
+    languages.
     """
-    frame = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    frame = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     frame = frame.filter("text is not null and lang is not null")
-    seen = frame.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("lang").alias("languages")).first()
-    if seen["languages"] > languages:
-        raise ValueError(f"{seen['languages']} languages; at most {languages} fit a model")
-    part = math.ceil(seen["n"] / rows)
-    if part > 1:
-        frame = frame.filter(F.pmod(F.xxhash64("id"), F.lit(part)) == 0)
+    seen = frame.agg(F.countDistinct("lang").alias("languages")).first()["languages"]
+    if seen > languages:
+        raise ValueError(f"{seen} languages; at most {languages} fit a model")
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -100,7 +92,7 @@ def fit(
             columns = [pa.array([name] * len(cell), pa.string()), pa.array(cell), pa.array(total[cell])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "cell", "n"])
 
-    counted = frame.select("text", "lang").mapInArrow(step, "lang string, cell long, n long")
+    counted = frame.mapInArrow(step, "lang string, cell long, n long")
     found = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(found.column("lang").to_pylist()))
     place = {name: i for i, name in enumerate(names)}
