@@ -30,7 +30,6 @@ from tablejobs.llm.labelled import with_labels
 
 # Labelled rows read for a lexicon at most, about; of more, a sample by a hash of the id.
 FIT_ROWS = 100_000
-MAX_TERMS, MAX_EXCEPTIONS = 5_000, 5_000
 SUPPORT, LEAST_WEIGHT, CAUTION = 3, 2.0, 1.5
 
 # Letters of other scripts, digits and signs that are read as a Latin letter.
@@ -178,7 +177,8 @@ def fit(
     weight = ratio - CAUTION * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
     words = _counted(for_terms, lambda t: set(t.split())).withColumn("weight", weight)
     best = words.filter((F.col("toxic") >= SUPPORT) & (F.col("weight") >= LEAST_WEIGHT))
-    best = best.orderBy((F.col("toxic") * F.col("weight")).desc(), "term").limit(MAX_TERMS)
+    # In this order, so that a lexicon is the same each time; FIT_ROWS bounds how many terms and phrases have support.
+    best = best.orderBy((F.col("toxic") * F.col("weight")).desc(), "term")
     weights = {r["term"]: r["weight"] for r in best.collect()}
     terms = Lexicon(weights)
 
@@ -190,8 +190,7 @@ def fit(
         return {f"{a} {b}" for a, b in zip(own, own[1:]) if a in terms.weights or b in terms.weights}
 
     phrases = _counted(for_terms, around).filter((F.col("other") >= SUPPORT) & (F.col("toxic") * 10 <= F.col("other")))
-    excused = phrases.orderBy(F.col("other").desc(), "term").limit(MAX_EXCEPTIONS)
-    lexicon = Lexicon(weights, frozenset(r["term"] for r in excused.collect()))
+    lexicon = Lexicon(weights, frozenset(r["term"] for r in phrases.collect()))
     measured = _measured(frame.filter(quarter == 0).select("text", "label"), lexicon, "text").select("label", "weight", "n_words").toArrow()
     columns = [measured.column(c).to_numpy().astype(float) for c in ("weight", "n_words", "label")]
     return Lexicon(weights, lexicon.exceptions, _curve(*columns) if measured.num_rows else (-4.0, 1.0, 1.0))
