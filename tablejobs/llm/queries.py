@@ -5,14 +5,18 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablejobs.llm import (
+    collocations,
     decontaminate,
     fingerprints,
     jaccard,
     languages,
+    merkle,
+    packing,
     quality,
     substrings,
     tokenfiles,
@@ -201,3 +205,130 @@ SELECT record_id, canonical, status, CASE WHEN status = 'resolved' THEN f_id END
     CASE status WHEN 'full' THEN sha256(html) WHEN 'resolved' THEN sha256(f_html) END AS payload_sha256
 FROM judged
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+    FROM (SELECT lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), total AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang
+), gram AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM piece, (VALUES (1), (2), (3)) v(k)
+), f AS (
+    SELECT lang, k, phrase, count(*) AS n FROM gram GROUP BY ALL HAVING count(*) >= 10
+), cut AS (
+    SELECT c.lang, c.k, c.phrase, c.n AS a, l.n AS l, r.n AS r, l.k AS at,
+        CAST(1000000 AS HUGEINT) * c.n * c.n // (CAST(l.n AS HUGEINT) * r.n) AS score
+    FROM f c JOIN f l ON l.lang = c.lang AND l.k < c.k
+        AND l.phrase = array_to_string(string_split(c.phrase, ' ')[:l.k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(string_split(c.phrase, ' ')[l.k + 1:], ' ')
+    WHERE c.k > 1
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, l.k) = 1
+), longer AS (
+    SELECT lang, phrase, max(n) AS n FROM (
+        SELECT lang, n, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase
+        FROM f WHERE k = 3) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n,
+    CAST(score AS BIGINT) AS score
+FROM cut JOIN total USING (lang)
+WHERE NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = cut.lang AND x.phrase = cut.phrase AND 100 * x.n >= 50 * cut.a)
+QUALIFY rank <= 2000
+"""
+
+
+@query
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.cut(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    found = merkle.manifest(docs, tampered=fold("doc_id", 3) == 0)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _merkle_sql() -> str:
+    def field(column: str) -> str:
+        text = f"CAST({column} AS VARCHAR)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    lower = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    # crc32, a byte at a time and a bit at a time.
+    crc = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+    return f"""
+WITH RECURSIVE leaf AS (
+    SELECT doc_id, lang, {leaf('text')} AS h, CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS held,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {leaf('text')}) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS n
+    FROM documents
+), up AS (
+    SELECT 0 AS level, lang, pos, n, h FROM leaf
+    UNION ALL
+    SELECT level + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1
+    GROUP BY level, lang, n, pos // 8
+), sub AS (
+    SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+), top AS (
+    SELECT 0 AS level, pos, n, h FROM sub
+    UNION ALL
+    SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1
+    GROUP BY level, n, pos // 8
+), way AS (
+    SELECT l.doc_id, l.lang, l.pos AS own, u.level, l.pos // (8 ** u.level)::BIGINT AS pos FROM leaf l
+    JOIN (SELECT DISTINCT lang, level FROM up WHERE n > 1) u ON u.lang IS NOT DISTINCT FROM l.lang
+), sibling AS (
+    SELECT w.lang, w.own, w.level, coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos < w.pos), '') AS l,
+        coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos > w.pos), '') AS r
+    FROM way w JOIN up u ON u.level = w.level AND u.lang IS NOT DISTINCT FROM w.lang AND u.pos // 8 = w.pos // 8
+    GROUP BY w.lang, w.own, w.level
+    UNION ALL
+    SELECT s.lang, l.pos, 1000 + t.level, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < s.pos // (8 ** t.level)::BIGINT), ''),
+        coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > s.pos // (8 ** t.level)::BIGINT), '')
+    FROM sub s JOIN leaf l ON l.lang IS NOT DISTINCT FROM s.lang
+    JOIN top t ON t.n > 1 AND t.pos // 8 = s.pos // (8 ** (t.level + 1))::BIGINT
+    GROUP BY s.lang, l.pos, t.level
+), path AS (
+    SELECT lang, own, list(l ORDER BY level) AS l, list(r ORDER BY level) AS r, string_agg(l || r, '' ORDER BY level) AS proof
+    FROM sibling GROUP BY lang, own
+), fold AS (
+    SELECT leaf.lang, leaf.pos, 1 AS step, held AS h FROM leaf
+    UNION ALL
+    SELECT f.lang, f.pos, step + 1, sha256(p.l[step] || f.h || p.r[step]) FROM fold f
+    JOIN path p ON p.lang IS NOT DISTINCT FROM f.lang AND p.own = f.pos WHERE step <= len(p.l)
+), last AS (
+    SELECT lang, pos, arg_max(h, step) AS h FROM fold GROUP BY lang, pos
+)
+SELECT leaf.doc_id, leaf.h AS leaf, sub.h AS subroot, top.h AS root, sha256(coalesce(path.proof, '')) AS proof_sha256,
+    last.h AS folded_root, last.h = top.h AS verified
+FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang JOIN top ON top.n = 1
+JOIN last ON last.lang IS NOT DISTINCT FROM leaf.lang AND last.pos = leaf.pos
+LEFT JOIN path ON path.lang IS NOT DISTINCT FROM leaf.lang AND path.own = leaf.pos
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()

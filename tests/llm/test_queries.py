@@ -26,7 +26,7 @@ def items(spark, sf):
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert QUERIES.items() <= queries().items() and queries()["pipeline"] is corpus_pipeline.run
 
 
