@@ -33,29 +33,64 @@ from tablejobs.llm.tokens import tokenizer_of
 
 CAPACITY, END_ID = 2048, 0
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE, OPEN = 4096, 3, 2, 6, 6, 2, 8
-# Words that a worker remembers; beyond these it starts anew, which costs time only.
+# Words of each of the two generations that a worker remembers; words forgotten are encoded again.
 REMEMBERED = 500_000
-_TEXTS = 200
+_TEXTS, _JOINED = 200, 2_000
 # Letters up to punctuation or white space, which no token of a word tokenizer crosses, or all up to white space.
 _WORDS = re.compile(rb"[a-z]+(?=[\s.,;:!?]|$)|\S+")
 
 
 class _Encoder:
-    """Token ids of texts for a tokenizer that drops white space and reads A-Z as a-z, by a table of known words."""
+    """Token ids of texts for a tokenizer that drops white space and reads A-Z as a-z, by a table of known words.
+
+    Words are encoded some thousands at a time with a bar between them, which is a token of its own between spaces; words
+    that hold a bar are encoded alone. Of the known words the latest two generations are remembered.
+    """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer, self.known = tokenizer_of(path), {}
+        self.tokenizer, self.known, self.older = tokenizer_of(path), {}, {}
+        bar = self.tokenizer.encode(" | ", add_special_tokens=False).ids
+        self.bar = bar[0] if len(bar) == 1 else None
+
+    def _learn(self, words: list[bytes]) -> None:
+        alone = [w for w in words if self.bar is None or b"|" in w]
+        joined = [w for w in words if self.bar is not None and b"|" not in w]
+        for start in range(0, len(joined), _JOINED):
+            part = joined[start : start + _JOINED]
+            ids = np.array(self.tokenizer.encode(b" | ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(ids == self.bar)
+            if len(at) != len(part) - 1:
+                alone += part
+                continue
+            data, low = ids.tobytes(), 0
+            for word, high in zip(part, [*(4 * at).tolist(), len(data)]):
+                self.known[word] = data[low:high]
+                low = high + 4
+        for word, found in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
         split = [_WORDS.findall(t.encode().lower()) for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(set().union(*split) - known.keys())
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        found = [list(map(self.known.get, words)) for words in split]
+        gaps, new = [], set()
+        for words, own in zip(split, found):
+            at = -1
+            try:
+                while True:
+                    at = own.index(None, at + 1)
+                    gaps.append((own, at, words[at]))
+                    new.add(words[at])
+            except ValueError:
+                pass
+        again = {w: ids for w in new if (ids := self.older.get(w)) is not None}
+        self.known.update(again)
+        self._learn(list(new - again.keys()))
+        for own, at, word in gaps:
+            own[at] = self.known[word]
+        return [b"".join(own) for own in found]
 
 
 _ENCODERS: dict[str, _Encoder] = {}

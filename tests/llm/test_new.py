@@ -79,7 +79,10 @@ def test_local_supports_add_up(spark):
     assert len(least) == 4 and all(1 <= n <= 10 for n in least) and sum(n - 1 for n in least) < 10
 
 
-def test_full_filter_loses_nothing(spark, monkeypatch):
+def test_full_filter_and_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "RANGE_BYTES", 500)
+    monkeypatch.setattr(collocations, "_AT_ONCE", 4)
+    monkeypatch.setattr(collocations, "_BUFFER", 100)
     monkeypatch.setattr(collocations, "_LEAST_BITS", 7)
     monkeypatch.setattr(collocations, "_MOST_BITS", 7)
     rows = [(brute_prose(i), "en") for i in range(30)]
@@ -153,7 +156,7 @@ def test_islands_improve(monkeypatch):
 
 def test_pieces(spark):
     library = tokens.tokenizer_of(PATH)
-    texts = [None, "", "one Two  three", "ÉCLAIR don't 'rest, a.b,c 3.5!! x́\x1c y z 数学", "word " * 500, "ΣΑΣ. ©™", "<|endoftext|> 'S"]
+    texts = [None, "", "one Two  three", "ÉCLAIR don't 'rest, a.b,c 3.5!! x́\x1c y z 数学", "word " * 500, "ΣΑΣ. ©™", "<|endoftext|> 'S", "a | b || c| |d |"]
     docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = sorted((r.doc_id, r.piece, r.start, r.length, tuple(np.frombuffer(r.ids, "<u4"))) for r in packing.cut(docs, PATH, 64, 7).collect())
     expected = []
