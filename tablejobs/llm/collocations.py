@@ -32,7 +32,9 @@ from tablejobs.llm.links import kept
 from tablejobs.llm.tokens import spread
 
 SUPPORT, LONGEST, SHARDS, RANKS = 10, 3, 4, 2000
-BATCH_BYTES = 8_000_000
+BATCH_BYTES, RANGE_BYTES = 4_000_000, 16_000_000
+# Ranges that a batch is dealt to at once; more of them are reached in two steps.
+_AT_ONCE, _BUFFER = 4096, 8_000_000
 # The filter has 16 bits for each locally frequent phrase, between these sizes: 128 KB and 16 MB.
 _LEAST_BITS, _MOST_BITS = 20, 27
 _BREAKS = flat.byte_class((0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"])
@@ -120,26 +122,63 @@ def _shard(shards: int) -> Column:
 
 
 def locally_frequent(docs: DataFrame, support: int = SUPPORT, shards: int = SHARDS) -> DataFrame:
-    """(hash): of every phrase that reaches the lowered support in a shard. `docs` has `__text` and `__lang`."""
-    bits = max((shards - 1).bit_length(), 1)
-    low = np.uint64((1 << bits) - 1)
+    """(hash): of every phrase that reaches the lowered support in a shard. `docs` has `__text` and `__lang`.
+
+    A batch sends its hashes with their counts, cut off at the support, in the low bits; a range adds them up. The number of
+    ranges grows with the text, so a range holds about as much at every size.
+    """
+    spark = docs.sparkSession
+    low = np.uint64((1 << support.bit_length()) - 1)
+    least = local_supports(docs, support, shards)
+    total = docs.agg(F.sum(F.octet_length("__text").cast("long"))).first()[0] or 0
+    ranges = max(math.ceil(total / RANGE_BYTES), 2 * spark.sparkContext.defaultParallelism)
+    first = ranges if ranges <= _AT_ONCE else math.isqrt(ranges - 1) + 1
+    inner = -(-ranges // first)
+    schema = pa.schema([("shard", pa.int32()), ("range", pa.int64()), ("keys", pa.binary())])
+
+    def dealt(shard: int, keys: np.ndarray, ranges: int) -> pa.RecordBatch:
+        bounds = packed.range_bounds(keys, ranges, 64)
+        own = np.flatnonzero(bounds[1:] > bounds[:-1])
+        data = [packed.pack_sorted(keys[bounds[r] : bounds[r + 1]]) for r in own]
+        columns = [pa.array(np.full(len(own), shard, np.int32)), pa.array(own), pa.array(data, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard = np.uint64(TaskContext.get().partitionId() % shards)
+        shard = TaskContext.get().partitionId() % shards
         for phrases in _phrases(batches):
-            keys = np.concatenate([h for _, _, _, h in phrases.found]) & ~low | shard
-            sizes = np.concatenate([n for _, _, n, _ in phrases.found])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sizes.astype(np.int64))], ["key", "n"])
+            keys = np.concatenate([h & ~low | np.minimum(n, int(low)).astype(np.uint64) for _, _, n, h in phrases.found])
+            keys.sort()
+            yield dealt(shard, keys, first)
             flat.release()
 
-    least = F.array(*[F.lit(n).cast("long") for n in local_supports(docs, support, shards)])
-    counted = docs.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    shard = F.col("key").bitwiseAND(int(low))
-    return counted.filter(F.col("n") >= F.get(least, shard.cast("int"))).select(
-        F.col("key").bitwiseAND(~int(low)).alias("hash")
-    )
+    def dealt_again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[tuple[int, int], list[np.ndarray]] = {}
+        size = 0
+        for row in (r for b in batches for r in b.to_pylist()):
+            own = packed.unpack_sorted(row["keys"])
+            waiting.setdefault((row["shard"], row["range"]), []).append(own)
+            size += len(own)
+            if size > _BUFFER:
+                yield from (dealt(shard, np.sort(np.concatenate(own)), first * inner) for (shard, _), own in waiting.items())
+                waiting, size = {}, 0
+        yield from (dealt(shard, np.sort(np.concatenate(own)), first * inner) for (shard, _), own in waiting.items())
+
+    def added(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        keys = np.concatenate([packed.unpack_sorted(data) for data in table.column("keys").to_pylist()])
+        keys.sort()
+        counts, keys = (keys & low).astype(np.int64), keys & ~low
+        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        found = keys[begins][np.add.reduceat(counts, begins) >= least[shard]]
+        flat.release()
+        return pa.table({"hash": pa.array(found.view(np.int64))})
+
+    sent = docs.mapInArrow(count, "shard int, range long, keys binary")
+    if inner > 1:
+        sent = sent.repartition("shard", "range").mapInArrow(dealt_again, "shard int, range long, keys binary")
+    return sent.groupBy("shard", "range").applyInArrow(added, "hash long")
 
 
 def bit_filter(hashes: DataFrame, n: int) -> np.ndarray:
