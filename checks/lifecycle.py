@@ -12,6 +12,7 @@ from tablejobs.operators.joins import asof_latest, interval_join
 from tablejobs.operators.windows import running_range
 from tablejobs.plans import lifecycle as job
 from tablejobs.plans.hierarchy import IN_REPORT, NOT_IN_REPORT, default_mapping, default_names, with_hierarchy
+from tablejobs.session import scratch_dir
 
 RUN = f"DATE '{RUN_DATE}'"
 START = f"({RUN} - INTERVAL 2500 DAY)"
@@ -44,6 +45,33 @@ def base_transactions(spark, sf):
     )
 
 
+@query(
+    "base_transactions_customers",
+    f"""{BASE_SQL} FROM ({sql_text(MIXED_SALES)}) WHERE {USABLE}
+  AND indiv_id IN (SELECT 10000000 + c_custkey FROM customer WHERE c_acctbal > 0 OR c_mktsegment = 'BUILDING')""",
+)
+def base_transactions_customers(spark, sf):
+    """Sales of a table of customers, here those with a balance or of a segment."""
+    wanted = read(spark, sf, "customer").filter("c_acctbal > 0 OR c_mktsegment = 'BUILDING'")
+    wanted = wanted.select((F.lit(10000000) + F.col("c_custkey")).alias("customer"))
+    return job.base_transactions(stand_in(spark, sf, MIXED_SALES), RUN_DATE, customers=wanted)
+
+
+def sales_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """The mixed sales as a table with a folder for each month."""
+    months = stand_in(spark, sf, MIXED_SALES).withColumn("txn_month", F.date_format("txn_dt", "yyyyMM"))
+    path = scratch_dir(spark, "sales")
+    months.repartition("txn_month").write.partitionBy("txn_month").parquet(path)
+    schema = months.drop("txn_month").schema.add("txn_month", "string")
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("base_transactions_by_month", f"{BASE_SQL} FROM ({sql_text(MIXED_SALES)}) WHERE {USABLE}")
+def base_transactions_by_month(spark, sf):
+    """Sales partitioned by month, of which the look-back reads its own."""
+    return job.base_transactions(sales_by_month(spark, sf), RUN_DATE, month="txn_month")
+
+
 @query("base_transactions_division", f"{BASE_SQL} FROM ({sql_text(MIXED_SALES)}) WHERE {USABLE}")
 def base_transactions_division(spark, sf):
     return job.base_transactions(stand_in(spark, sf, MIXED_SALES), RUN_DATE)
@@ -318,9 +346,7 @@ def lifecycle_division_ordered(spark, sf):
     f"(WITH {DIVISION_DAYS}, {NAMED_SQL} {DIVISION_SQL})",
 )
 def total_plus_division(spark, sf):
-    return job.total_and_division(
-        job.lifecycle_total(sales(spark, sf), RUN_DATE), job.lifecycle_division(sales(spark, sf), RUN_DATE)
-    )
+    return job.lifecycle_total_and_division(sales(spark, sf), RUN_DATE)
 
 
 # --- single stages -------------------------------------------------------------------------------

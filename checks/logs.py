@@ -209,7 +209,6 @@ def first_engaged_rank(spark, sf):
         ["l_suppkey", "l_returnflag"],
         ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
         "first_rank",
-        split=[F.date_trunc("month", "l_shipdate"), F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 1000)],
     )
 
 
@@ -225,7 +224,6 @@ def first_engaged_rank_sliced(spark, sf):
         ["l_suppkey", "l_returnflag"],
         ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
         "first_rank",
-        split=[F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 1000)],
     )
 
 
@@ -378,14 +376,47 @@ CLAIM_VALUES = {
     "clm_no": "c.aClaimNumber",
     "acc_no": "a.aUniqueID",
     "clm_rs_for_decline": "d.aDescription",
+    "clm_s5_complnce_does_s5_apply": "c.aDoesS5Apply",
+    "clm_initial_consult_gp_dt": "TRY_CAST(c.aDateIniialConsultGP AS DATE)",
     "clm_initial_consult_solicitor_dt": "TRY_CAST(c.aDateInitialConsultSolicitor AS DATE)",
+    "clm_limitatn_extnded_to_dt": "TRY_CAST(c.aDateLimitationExtendedTo AS DATE)",
+    "clm_aif_reqst_dt": "TRY_CAST(c.aAIFRequestedDate AS DATE)",
+    "clm_assistnce_completng_icf": "c.aHasClaimFormEntryAssistance",
+    "clm_escalated": "c.aIsEscalatedClaim",
     "clm_entrd_dt": "TRY_CAST(c.aDateTimeEntered AS DATE)",
     "clm_stat": "st.aDescription",
-    "clm_stat_cd": "st.aCode",
     "clm_high_care_flg": "c.aCareType",
+    "clm_stat_cd": "st.aCode",
+    "clm_limitatn_extnded_by": "c.aLimitationExtendedBy",
+    "clm_noac_rpted_dt": "TRY_CAST(c.aDateNOACFirstReported AS DATE)",
+    "clm_noac_s39_1b_follow_up_stat": "c.aNOACS39FollowUpStatus",
+    "clm_nominal_defendnt_pct": "c.aNominalDefendantPerc",
+    "clm_notable_significnt": "c.aIsNotableAndSignificantClaim",
+    "clm_form_notice_of_claim_rcvd_dt": "TRY_CAST(c.aDateClaimFormsReceived AS DATE)",
+    "clm_first_fnlised_dt": "TRY_CAST(c.aDateFirstFinalised AS DATE)",
+    "clm_status_dt": "TRY_CAST(c.aClaimStatusDate AS DATE)",
+    "clm_reopened_dt": "TRY_CAST(c.aDateReopened AS DATE)",
+    "clm_unreas_con": "c.aIsUnreasonableContact",
+    "clm_acc_fault_notifcn_form": "c.aANFAtFault",
+    "clm_first_resp_noac_complnce_cd": "c.aNOACFirstResponseCode",
+    "clm_first_resp_noac_complnce_dt": "TRY_CAST(c.aDateNOACFirstResponse AS DATE)",
+    "clm_wc_recov_dt": "TRY_CAST(c.aWorkcoverSOCRECDate AS DATE)",
+    "clm_last_con_clmnt_dt": "TRY_CAST(c.aDateLastContClaimant AS DATE)",
+    "clm_fincl_hardshp_paymt_req_amt": "c.aS84AHardshipPayment",
+    "clm_fincl_hardshp_paymt_req_dt": "TRY_CAST(c.aS84AHardshipRequestDate AS DATE)",
+    "clm_noac_satisfied_dt": "TRY_CAST(c.aDateNOACSatisfied AS DATE)",
+    "clm_interim_pymt": "c.aInterimPayments",
+    "clm_persn_assistng_icf_completn": "c.aClaimFormEntryAssistantName",
     "clm_mangng_state": "z.aName",
+    "clm_nominal_defendnt_ref_no": "c.aNominalDefendantReference",
+    "clm_prescrbd_auth_signd_dt": "TRY_CAST(c.aDatePrescribedAuthoritySigned AS DATE)",
+    "clm_prescrbd_auth_valid": "c.aIsPrescribedAuthority",
+    "clm_prescrbd_auth_valid_to_dt": "TRY_CAST(c.aDatePrescribedAuthorityValidTo AS DATE)",
+    "clm_rs_icf_completn_assistnce_reqrd": "c.aClaimFormEntryAssistanceReason",
     "clm_reopen_rs_pir_cd": "ro.aCode",
     "clm_reopen_rs": "ro.aDescription",
+    "clm_satisfactry_aif_rcvd_dt": "TRY_CAST(c.aSatisfactoryAIFRecvDate AS DATE)",
+    "clm_wc_recov": "c.aWorkcoverRecovery",
 }
 
 
@@ -441,5 +472,4 @@ def version_numbers(spark, sf):
         ["oid_instid"],
         ["l_shipdate", "l_partkey", "l_suppkey"],
         "record_version_no",
-        split=[F.to_date("l_shipdate"), F.floor(F.col("l_partkey") / 100)],
     )

@@ -58,11 +58,14 @@ SELECT 1 AS oid_clsno, user_id AS oid_instid, CAST(CAST(ts AS DATE) AS TIMESTAMP
 FROM {{events}}
 """
 
+# Attributes of claims that hold dates.
+CLAIM_DATES = [a for a in CLAIM_ATTRIBUTES.split() if "Date" in a or a in ("aDateS110",)]
+
 FIXED_TIME = "TIMESTAMP '2024-01-01 00:00:00' AS _timestamp, 'U' AS _operation"
 
 
 def _claim_log() -> str:
-    """Orders as claims, two versions per key; columns the jobs read but orders cannot feed are NULL."""
+    """Orders as claims, two versions per key. Every attribute and reference has values of its own."""
     own = {
         "aClaimNumber": "concat('C', CAST(o_orderkey AS STRING))",
         "aDateInitialConsultSolicitor": "CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' "
@@ -72,6 +75,11 @@ def _claim_log() -> str:
         "aDescription": "o_orderstatus",
     }
     references = {
+        "CaseManager": (31, "o_custkey % 11"),
+        "IMA": (32, "o_custkey % 12"),
+        "InjuredWorker": (33, "o_custkey"),
+        "ProcessingCentre": (34, "o_custkey % 13"),
+        "WCInsurer": (35, "o_custkey % 14"),
         "Accident": (2, "o_custkey"),
         "Policy": (4, "o_custkey"),
         "ClaimStatus": (23, "o_custkey % 25"),
@@ -88,9 +96,13 @@ def _claim_log() -> str:
         "o_orderpriority AS aLitDefendantCounsel",
         "o_orderstatus AS aLitPlaintiffCounsel",
     ]
-    parts += [f"{own.get(a, 'CAST(NULL AS STRING)')} AS {a}" for a in CLAIM_ATTRIBUTES.split()]
+    for i, a in enumerate(CLAIM_ATTRIBUTES.split()):
+        text = f"concat('v{i}-', CAST(o_orderkey % {i + 7} AS STRING))"
+        if a in CLAIM_DATES:
+            text = f"CAST(CAST(o_orderdate AS DATE) + {i} AS STRING)"
+        parts.append(f"{own.get(a, f'CASE WHEN o_orderkey % {i + 3} <> 0 THEN {text} END')} AS {a}")
     for name in [*CLAIM_REFERENCES.split(), "LitReferralType"]:
-        clsno, instid = references.get(name, ("CAST(NULL AS INT)", "CAST(NULL AS BIGINT)"))
+        clsno, instid = references[name]
         parts += [f"{clsno} AS my{name}_clsno", f"{instid} AS my{name}_instid"]
     return f"SELECT {', '.join(parts)} FROM {{orders}}"
 

@@ -12,11 +12,14 @@ from tablejobs.plans.transfer import extract, extract_then_load
 from tablejobs.session import scratch_dir
 from tablejobs.sources.cells import latest_cells, read_mapping, send_cells, to_cells, to_cells_mapped
 from tablejobs.sources.reports import (
+    accepted_and_rejected,
     case_lines,
     compact_json,
     parse_report,
+    read_report_checked,
     report_cases,
     report_runs,
+    report_tables,
     run_lines,
 )
 from tablejobs.sources.tables import read_parquet, write_hub
@@ -154,6 +157,49 @@ def reports_json(spark, sf):
     return compact_json(parse_report(stand_in(spark, sf, REPORTS), "report"))
 
 
+# Reports of which some are cut off or missing.
+MIXED_SQL = f"""SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 7 = 0 THEN substr(report, 1, 40)
+  ELSE report END AS report FROM ({sql_text(REPORTS)})"""
+
+
+def mixed_reports(spark, sf):
+    text = "CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 7 = 0 THEN substr(report, 1, 40) ELSE report END"
+    return stand_in(spark, sf, REPORTS).withColumn("report", F.expr(text))
+
+
+@query(
+    "report_rejects",
+    f"""SELECT event_id, coalesce(report, '') AS rejected, NULL AS case_id FROM ({MIXED_SQL})
+WHERE event_id % 13 = 0 OR event_id % 7 = 0
+UNION ALL SELECT event_id, NULL, 'TC_' || event_id FROM events WHERE event_id % 13 <> 0 AND event_id % 7 <> 0""",
+)
+def report_rejects(spark, sf):
+    """Every report is a test case or a reject."""
+    good, bad = accepted_and_rejected(parse_report(mixed_reports(spark, sf), "report"))
+    cases = report_cases(good).select("event_id", "case_id")
+    return bad.unionByName(cases, allowMissingColumns=True)
+
+
+@query(
+    "report_files",
+    f"""SELECT 'rejected' AS kind, report AS name, NULL AS result FROM ({MIXED_SQL}) WHERE event_id % 13 <> 0 AND event_id % 7 = 0
+UNION ALL SELECT 'case', 'TC_' || event_id, {RESULT_SQL} FROM events WHERE event_id % 13 <> 0 AND event_id % 7 <> 0
+UNION ALL SELECT 'run', 'user_' || user_id || '.txt', 'Succeeded' FROM events WHERE event_id % 13 <> 0 AND event_id % 7 <> 0""",
+)
+def report_files(spark, sf):
+    """Reports written as lines of files and read again, rejects apart."""
+    path = scratch_dir(spark, "report-files")
+    mixed_reports(spark, sf).filter("report IS NOT NULL").select("report").write.text(path)
+    good, bad = read_report_checked(spark, path, lines=True)
+    cases, runs = report_tables(good)
+    kind = lambda name: F.lit(name).alias("kind")
+    return (
+        bad.select(kind("rejected"), F.col("rejected").alias("name"), F.lit(None).cast("string").alias("result"))
+        .union(cases.select(kind("case"), "case_id", "result"))
+        .union(runs.select(kind("run"), "file_name", "status"))
+    )
+
+
 @query(
     "event_properties",
     """SELECT event_id, key, CAST(json_extract_string(props, '$.' || key) AS BIGINT) AS value

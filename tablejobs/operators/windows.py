@@ -1,13 +1,13 @@
 """Window operators.
 
 Groups may be very uneven, so each operator here either keeps one row per group before the shuffle
-(Spark's window group limit), reduces the group to one row per distinct order value first, or splits
-the group by a leading part of its order.
+(Spark's window group limit, or an aggregate), reduces the group to one row per distinct order value first, or cuts
+the whole table into ranges of its order and carries what the earlier ranges of a group hold into the next ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tablejobs.functions.dates import OPEN_END, month_boundaries
 from tablejobs.functions.text import all_of
+from tablejobs.session import written
 
 DEDUP_MODES = ("row_number", "rank", "none")
 
@@ -51,14 +52,21 @@ def latest_per_key(
 ) -> DataFrame:
     """First row (`row_number`) or rows (`rank`, which keeps ties) of each key; `none` changes nothing.
 
-    The rank filter sits directly on the window, so every map task sends at most one row per key (and
-    its ties) into the shuffle: a key with very many versions costs no more than any other. Ties under
-    `row_number` fall to `tiebreak`, or to a hash of the row, so a recomputed task picks the same row.
+    The rank filter sits directly on the window, so every map task sends at most one row per key into the
+    shuffle: a key with very many versions costs no more than any other. Ties under `row_number` fall to
+    `tiebreak`, or to a hash of the row, so a recomputed task picks the same row.
+
+    Ties that stay can be any number of rows. Under `rank` the first order value of each key is found by a map-side
+    reduced grouping and its rows by a semi-join, whose skewed partitions adaptive execution splits and which moves no
+    row where the values are few. Orders that go up in one column and down in another use the window.
     """
     if mode not in DEDUP_MODES:
         raise ValueError(f"mode must be one of {DEDUP_MODES}, not {mode!r}")
     if mode == "none":
         return df
+    down = {t.strip().lower().endswith(" desc") for t in order}
+    if mode == "rank" and len(down) == 1:
+        return _first_with_ties(df, keys, [t.split()[0] for t in order], down.pop())
     sort = [order_column(t) for t in order]
     if mode == "row_number":
         sort += [order_column(t) for t in tiebreak] if tiebreak else [_row_fingerprint(df).asc()]
@@ -67,6 +75,30 @@ def latest_per_key(
     return df.withColumn("__rnk", number.over(window)).filter("__rnk = 1").drop("__rnk")
 
 
+def _first_with_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str], down: bool) -> DataFrame:
+    # NULL is the lowest value of a struct, so it comes first going up and last going down, as in `order_column`.
+    value = F.struct(*[F.col(c) for c in order])
+    best = df.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(
+        (F.max(value) if down else F.min(value)).alias("__best")
+    )
+    match = [F.col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
+    match += [F.col(c).eqNullSafe(F.col("__best").getField(c)) for c in order]
+    return df.join(best, all_of(match), "left_semi")
+
+
+def latest_and_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """`latest_per_key` by `row_number`, with the number of rows of each key as `name`, in one map-side reduced grouping.
+
+    The order must go down in every column. Ties fall to the same hash of the row.
+    """
+    if not all(t.strip().lower().endswith(" desc") for t in order):
+        raise ValueError(f"the order must go down, not {', '.join(order)}")
+    rank = F.struct(*[F.col(t.split()[0]) for t in order], F.bitwise_not(_row_fingerprint(df)).alias("__tie"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    grouped = df.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    return grouped.agg(F.max_by(row, rank).alias("__row"), F.count(F.lit(1)).alias(name)).select("__row.*", name)
+
+
 def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep_rank: str | None = None) -> DataFrame:
     """One row per key by `order`; `keep_rank` names a column that shows the rank (always 1)."""
     window = Window.partitionBy(*keys).orderBy(*[order_column(t) for t in order])
@@ -128,72 +160,51 @@ def running_range(
     )
 
 
-def _same(columns: Sequence[str], prefix: str) -> Column:
-    """The columns equal their prefixed twins; NULL equals NULL, as it does in a window's groups."""
-    return all_of([F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns])
-
-
-def _prefixed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
+# --- ranges of a whole table -----------------------------------------------------------------------
 
 
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, split: Sequence[Column] = ()
-) -> DataFrame:
-    """ROW_NUMBER of every row in its group, ascending with NULLs last, as column `name`.
+class Ranges:
+    """A table in the order of its groups, cut into ranges: one range shuffle deals a group of any size to many tasks.
 
-    Every row keeps its number, so a group cannot be cut down before it is sorted. All groups are cut into slices by
-    `split`, outermost first. Among rows that agree on the slices before it, a slice must never fall while the order
-    rises: the day of the leading date, then that date itself, then a range of the next order column. Rows are dealt by
-    group and slices and numbered inside the innermost slices; the sizes of the earlier slices, from one narrow map-side
-    reduced count, are added. The rows are dealt anew whatever came before, since an input that is hashed by the keys
-    alone would pass for one that is hashed by keys and slices.
+    The table is written once, with `__range` and the place `__at`; rows of equal keys and order lie in one range. Only the
+    first group of a range can have begun in an earlier one, so what is carried into a range is at most one row for each.
     """
-    sort = [F.col(c).asc_nulls_last() for c in order]
-
-    def number(partition: Sequence[str]) -> Column:
-        return F.row_number().over(Window.partitionBy(*partition).orderBy(*sort)).cast("long")
 
-    if not split:
-        return df.withColumn(name, number(keys))
-
-    keys = list(keys)
-    slices = [f"__slice{i}" for i in range(len(split))]
-    sliced = df.withColumns(dict(zip(slices, split)))
-    sizes = sliced.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("__n"))
-    before = _prefixed(_rows_before(sizes, keys, slices), [*keys, *slices], "__size_")
-    return (
-        sliced.repartition(*keys, *slices)
-        .withColumn("__number", number([*keys, *slices]))
-        .join(before, _same([*keys, *slices], "__size_"))
-        .select(*df.columns, (F.col("__number") + F.col("__before")).alias(name))
-    )
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> None:
+        self.keys = list(keys)
+        sort = [*[F.col(k).asc_nulls_first() for k in keys], *order]
+        ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__at", F.monotonically_increasing_id())
+        # The id has the number of the partition above bit 33.
+        self.rows = written(ranged, "ranges").withColumn("__range", F.shiftright("__at", 33))
+
+    def inside(self) -> Window:
+        """The rows of a group in one range."""
+        return Window.partitionBy("__range", *self.keys)
+
+    def carrying(self, parts: Mapping[str, tuple[Column, Callable[[Column], Column]]]) -> DataFrame:
+        """The rows with what their group has in earlier ranges: for each name an aggregate of a range, and how aggregates of
+        several ranges come together. NULL where there is no earlier range."""
+        sizes = self.rows.groupBy("__range", *self.keys).agg(*[part.alias(name) for name, (part, _) in parts.items()])
+        earlier = Window.partitionBy(*self.keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+        carried = sizes.select(
+            *[F.col(k).alias(f"__carried_{k}") for k in ("__range", *self.keys)],
+            F.count(F.lit(1)).over(earlier).alias("__earlier"),
+            *[joined(F.col(name)).over(earlier).alias(name) for name, (_, joined) in parts.items()],
+        )
+        # One row for each range at most, however many groups there are.
+        carried = F.broadcast(carried.filter("__earlier > 0").drop("__earlier"))
+        match = all_of([F.col(k).eqNullSafe(F.col(f"__carried_{k}")) for k in ("__range", *self.keys)])
+        return self.rows.join(carried, match, "left").drop(*[f"__carried_{k}" for k in ("__range", *self.keys)])
 
 
-def _rows_before(sizes: DataFrame, keys: list[str], slices: list[str]) -> DataFrame:
-    """Rows of the same group in earlier slices, for each innermost slice.
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """ROW_NUMBER of every row in its group, ascending with NULLs last, as column `name`.
 
-    Each level adds up the slices before it inside its parent only, so a window never holds more than
-    the slices of one parent.
+    Every row keeps its number, so a group cannot be cut down before it is sorted. Rows are numbered inside the ranges of the
+    whole table, and the rows of the group in earlier ranges are added. The input is planned and read once. Which of several
+    rows of equal order comes first is settled when the ranges are written.
     """
-    known = None
-    for depth in range(len(slices)):
-        parent, here = [*keys, *slices[:depth]], slices[depth]
-        earlier = (
-            Window.partitionBy(*parent)
-            .orderBy(F.col(here).asc_nulls_last())
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        level = (
-            sizes.groupBy(*parent, here)
-            .agg(F.sum("__n").alias("__n"))
-            .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-            .drop("__n")
-        )
-        if known is not None:
-            outer = _prefixed(known, [*parent, "__before"], "__outer_")
-            level = level.join(outer, _same(parent, "__outer_")).select(
-                *parent, here, (F.col("__before") + F.col("__outer___before")).alias("__before")
-            )
-        known = level
-    return known
+    ranges = Ranges(df, keys, [F.col(c).asc_nulls_last() for c in order])
+    rows = ranges.carrying({"__before": (F.count(F.lit(1)), F.sum)})
+    number = F.row_number().over(ranges.inside().orderBy("__at")).cast("long")
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], (number + F.coalesce("__before", F.lit(0))).alias(name))

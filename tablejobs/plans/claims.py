@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.functions.dates import DateLike
 from tablejobs.operators.joins import Edge, require_tables, star_join
-from tablejobs.plans.hub import AUDIT_TYPES, conform, version_counts, with_audit
+from tablejobs.plans.hub import AUDIT_TYPES, VERSION_COUNT, conform, with_audit
 from tablejobs.sources.snapshots import OBJECT_ID, load_snapshots, log_table, reader_of, short_name
 
 # Input tables with the columns the job reads.
@@ -140,13 +140,17 @@ GRANULARITY = ("clm_no",)
 def claims(
     ds: Mapping[str, DataFrame], versions: DataFrame | None = None, load_dt: DateLike = None
 ) -> DataFrame:
-    """Claims hub rows from snapshots; `versions` (from `version_counts`) fills the version number."""
+    """Claims hub rows from snapshots.
+
+    The version number is that of the claims' snapshot where it counts versions, or of `versions` (from `version_counts`).
+    """
     require_tables(ds, [short_name(t.name) for t in TABLES])
     joined = star_join(ds, ("claim", "dl_TIMPolicyClaim"), EDGES)
     business = [
         (F.col(SOURCES[c]) if c in SOURCES else F.lit(None)).try_cast(t).alias(c) for c, t in BUSINESS_TYPES.items()
     ]
-    rows = joined.select(F.col("claim._timestamp"), *[F.col(f"claim.{c}") for c in OBJECT_ID], *business)
+    own = ["_timestamp", *OBJECT_ID, *[c for c in ds["dl_TIMPolicyClaim"].columns if c == VERSION_COUNT]]
+    rows = joined.select(*[F.col(f"claim.{c}") for c in own], *business)
     if versions is not None:
         rows = rows.join(versions, list(OBJECT_ID), "left")
     return conform(with_audit(rows, BUSINESS_COLUMNS, load_dt=load_dt), TARGET)
@@ -156,5 +160,5 @@ def claims_of_logs(logs: Mapping[str, DataFrame], load_dt: DateLike = None) -> D
     """The same from change-log tables at hand, with version numbers."""
     require_tables(logs, [short_name(t.name) for t in TABLES])
     spark = next(iter(logs.values())).sparkSession
-    snapshots = load_snapshots(spark, TABLES, "", read=reader_of(logs))
-    return claims(snapshots, version_counts(logs["dl_TIMPolicyClaim"]), load_dt)
+    counted = {"dl_TIMPolicyClaim": VERSION_COUNT}
+    return claims(load_snapshots(spark, TABLES, "", read=reader_of(logs), counted=counted), load_dt=load_dt)

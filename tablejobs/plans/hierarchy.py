@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,8 +84,20 @@ def default_names() -> list[tuple[int, int, str]]:
     return rows
 
 
+def mapping_of(spark: SparkSession, names: Sequence[tuple[int, int, str]]) -> DataFrame:
+    """Names by division and product division as a literal relation.
+
+    Spark knows its exact size, so some dozens of names are broadcast without a hint and a longer list is not.
+    """
+    if not names:
+        return spark.createDataFrame([], MAPPING_SCHEMA)
+    quoted = ["NULL" if n is None else "'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for _, _, n in names]
+    rows = ", ".join(f"({int(division)}, {int(pdiv)}, {name})" for (division, pdiv, _), name in zip(names, quoted))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS names(rtl_divn_nbr, pdiv_id, filter_level)")
+
+
 def default_mapping(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(default_names(), MAPPING_SCHEMA)
+    return mapping_of(spark, default_names())
 
 
 def in_report(division: Column, pdiv: Column) -> Column:

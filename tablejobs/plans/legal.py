@@ -54,16 +54,12 @@ TARGET = {
 }
 CONTACT_TYPE_PREFIX = "ClaimLink - "
 
-# Object ids in the innermost slice that one task numbers. The numbers do not depend on it.
-IDS_PER_SLICE = 100_000
-
 
 def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
     """Legal contact rows from snapshots.
 
-    Every contact of a claim and subcategory gets a number, so a group cannot be cut down before it is
-    sorted; it is sliced by day, hour, time and id range. The numbers depend on the two inner joins only and
-    are given before the two lookups are joined.
+    Every contact of a claim and subcategory gets a number. The numbers depend on the two inner joins only and are given
+    before the two lookups are joined.
     """
     require_tables(ds, [short_name(t.name) for t in TABLES])
     matched = star_join(ds, ("contact", "dl_TIMClaimContactType"), REQUIRED_EDGES).select(
@@ -84,12 +80,6 @@ def legal_contacts(ds: Mapping[str, DataFrame]) -> DataFrame:
         GROUP,
         ["aDateEngaged", "_timestamp", "oid_instid", "oid_clsno"],
         "legl_rank_first",
-        split=[
-            F.col("aDateEngaged"),
-            F.date_trunc("hour", "_timestamp"),
-            F.col("_timestamp"),
-            F.floor(F.col("oid_instid") / IDS_PER_SLICE),
-        ],
     )
     with_link = oid_join(
         numbered.alias("c"), ds["dl_TIMContactTypeClaimLink"].alias("link"), "c.myContactType", "link.oid"

@@ -78,11 +78,14 @@ def base_transactions(
     divisions: Sequence[int] = DIVISIONS,
     exclude_pdiv: Sequence[int] = (),
     min_id_len: int = MIN_ID_LENGTH,
-    customers: Sequence[int] | None = None,
+    customers: Sequence[int] | DataFrame | None = None,
+    month: str | None = None,
 ) -> DataFrame:
     """Owned sales of the two channels within the look-back, with a usable customer id.
 
-    `exclude_pdiv` also drops rows without a product division; `customers` limits the job to some ids.
+    `exclude_pdiv` also drops rows without a product division. `customers` limits the job to some ids: a short list, or the
+    first column of a table of any size, which is semi-joined. `month` names a column with the sale's month as `yyyyMM`, by
+    which the sales are partitioned; months before the look-back are then not read.
     """
     col = F.col
     kept = transactions.filter(
@@ -98,7 +101,13 @@ def base_transactions(
     )
     if exclude_pdiv:
         kept = kept.filter(~col("pdiv_id").isin(*exclude_pdiv))
-    if customers is not None:
+    if month is not None:
+        start = F.date_sub(as_date(run_date), lookback_days)
+        kept = kept.filter(col(month).cast("string") >= F.date_format(start, "yyyyMM"))
+    if isinstance(customers, DataFrame):
+        wanted = customers.select(col(customers.columns[0]).alias("__wanted"))
+        kept = kept.join(wanted, col("indiv_id") == col("__wanted"), "left_semi")
+    elif customers is not None:
         kept = kept.filter(col("indiv_id").isin(*customers))
     return kept.select(
         "indiv_id", "pdiv_id", "rtl_divn_nbr", F.to_date("txn_dt").alias("tx_date"), "prch_chnl_cd"
@@ -167,17 +176,21 @@ def _special_day(channel: str) -> Column:
 
 
 def label_segments(tx: DataFrame, keys: Sequence[str], run_date: DateLike = None) -> DataFrame:
+    """Spans of constant labels from transactions, see `segments_of`."""
+    return segments_of(purchase_days(tx, keys).repartition("indiv_id"), keys, run_date)
+
+
+def segments_of(days: DataFrame, keys: Sequence[str], run_date: DateLike = None) -> DataFrame:
     """Spans of constant labels per key: seg_start, seg_end, the labels and the latest purchase days.
 
     Spans end at `run_date` and are as long as they can be: two spans of a key that agree in all labels
-    and days do not occur. Rows stay with their customer from the second shuffle on, so windows and
-    groupings whose keys include the customer need no further one.
+    and days do not occur. `days` are `purchase_days`, dealt by customer; rows stay with their customer, so windows and
+    groupings whose keys include the customer need no further shuffle.
     """
     run = as_date(run_date)
     # A channel row is matched by its key with plain equality, so a NULL key has no channel state.
     known = all_of([F.col(k).isNotNull() for k in keys])
     bought = {"total": F.lit(True), "web": F.col("web") & known, "store": F.col("store") & known}
-    days = purchase_days(tx, keys).repartition("indiv_id")
     states = days.select(
         *keys,
         F.lead("tx_date").over(Window.partitionBy(*keys).orderBy("tx_date")).alias("__next"),
@@ -336,7 +349,12 @@ def lifecycle_total(
     labelled = lifecycle_ranges(tx, TOTAL_KEYS, run_date, lookback_days, form)
     if form != "segment":
         labelled = compact_ranges(labelled, ["indiv_id", *LABELS, *LAST_DAYS])
-    ranges = (
+    ranges = _total_report(labelled)
+    return ranges.orderBy(*TOTAL_ORDER) if ordered else ranges
+
+
+def _total_report(labelled: DataFrame) -> DataFrame:
+    return (
         labelled.withColumnsRenamed({"indiv_id": "INDV_ID", "seg_start": "GREG_START_DT", "seg_end": "GREG_END_DT"})
         .withColumns(
             {
@@ -349,7 +367,6 @@ def lifecycle_total(
         )
         .select(*RANGE_COLUMNS)
     )
-    return ranges.orderBy(*TOTAL_ORDER) if ordered else ranges
 
 
 def lifecycle_division(
@@ -367,10 +384,15 @@ def lifecycle_division(
     frame, so the range window runs over the level, not over the product division.
     """
     tx = base_transactions(transactions, run_date, lookback_days, **filters)
+    ranges = _division_report(lifecycle_ranges(tx, DIVISION_KEYS, run_date, lookback_days, form), mapping)
+    return ranges.orderBy(*DIVISION_ORDER) if ordered else ranges
+
+
+def _division_report(labelled: DataFrame, mapping: DataFrame | None) -> DataFrame:
     if mapping is None:
-        mapping = default_mapping(transactions.sparkSession)
-    labelled = with_hierarchy(lifecycle_ranges(tx, DIVISION_KEYS, run_date, lookback_days, form), mapping)
-    ranges = (
+        mapping = default_mapping(labelled.sparkSession)
+    labelled = with_hierarchy(labelled, mapping)
+    return (
         running_range(
             labelled,
             partition=["indiv_id", "FILTER_LEVEL", "rtl_divn_nbr", *LABELS, LAST_DAYS[0]],
@@ -384,7 +406,38 @@ def lifecycle_division(
         .withColumn("FILTER_TYPE", F.lit("Prod_hier"))
         .select(*RANGE_COLUMNS)
     )
-    return ranges.orderBy(*DIVISION_ORDER) if ordered else ranges
+
+
+def lifecycle_total_and_division(
+    transactions: DataFrame,
+    run_date: DateLike = None,
+    mapping: DataFrame | None = None,
+    lookback_days: int = LOOKBACK_DAYS,
+    exclude_pdiv: Sequence[int] = TOTAL_EXCLUDED_PDIV,
+    **filters,
+) -> DataFrame:
+    """Both reports in one table, from one scan of the transactions.
+
+    These are reduced to purchase days by product division and dealt by customer once; the days of the total, which leaves
+    out `exclude_pdiv`, are made from the same days where they lie.
+    """
+    tx = base_transactions(transactions, run_date, lookback_days, **filters)
+    days = purchase_days(tx, DIVISION_KEYS).repartition("indiv_id")
+    # Counted, not filtered, and with all columns named: both reports then share one plan up to here, and its shuffles.
+    counted = ~F.col("pdiv_id").isin(*exclude_pdiv) & F.col("rtl_divn_nbr").isNotNull()
+    total = (
+        days.groupBy("indiv_id", "tx_date")
+        .agg(
+            F.max(F.when(counted, F.col("web"))).alias("web"),
+            F.max(F.when(counted, F.col("store"))).alias("store"),
+            F.count_if(counted).alias("__counted"),
+        )
+        .filter("__counted > 0")
+        .drop("__counted")
+    )
+    return total_and_division(
+        _total_report(segments_of(total, TOTAL_KEYS, run_date)), _division_report(segments_of(days, DIVISION_KEYS, run_date), mapping)
+    )
 
 
 def total_and_division(total: DataFrame, division: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Timestamps are cut to dates in UTC.
@@ -30,6 +30,21 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder that `spark.checkpoint.dir` names, or below the session's warehouse folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    """A new path below the shared folder that `spark.checkpoint.dir` names.
+
+    A local session may do without that setting; its scratch then lies below the warehouse folder. On a cluster the folder
+    must be named, since executors share no local one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once to the scratch folder and read again: what follows is planned on a table, not on its making."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

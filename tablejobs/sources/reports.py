@@ -5,31 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablejobs.session import written
+
+PARTS = ("test_case_report", "adf_run_details")
 # Layout of a report, and the lines of its text form.
 REPORT_SCHEMA = (
     "test_case_report map<string, struct<description: string, result: string, error: string>>, "
     "adf_run_details map<string, struct<id: string, run_status: string, message: string, run_duration: double>>"
 )
+CORRUPT = "_corrupt_record"
 CASE_LINES = "* Test Case ID:* %s\n- **Description:** %s\n- **Result:** %s\n- **Error:** %s\n"
 RUN_LINES = (
     "- **File Name:** %s\n- **Run ID:** %s\n- **Status:** %s\n- **Message:** %s\n- **Duration (min):** %s\n"
 )
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Reports from JSON files that hold one report each, over several lines."""
-    return spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(path)
+def read_report(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Reports from JSON files that hold one report each, over several lines, or with `lines` one on each line.
+
+    What does not parse keeps its text in `_corrupt_record`, see `accepted_and_rejected`.
+    """
+    return spark.read.schema(f"{REPORT_SCHEMA}, {CORRUPT} string").option("multiLine", not lines).json(path)
 
 
 def parse_report(df: DataFrame, column: str) -> DataFrame:
-    """Reports from a text column; the other columns are kept."""
+    """Reports from a text column; the other columns are kept. NULL and blank texts count as reports that do not parse."""
     rest = [c for c in df.columns if c != column]
-    return df.select(*rest, F.from_json(column, REPORT_SCHEMA).alias("__report")).select(*rest, "__report.*")
+    parsed = F.from_json(column, f"{REPORT_SCHEMA}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    reports = df.select(*rest, parsed.alias("__report"), F.coalesce(column, F.lit("")).alias("__text"))
+    blank = F.col("__report").isNull() | (F.trim("__text") == "")
+    return reports.withColumn("__none", F.when(blank, F.col("__text"))).select(
+        *rest, *[F.col(f"__report.{p}").alias(p) for p in PARTS], F.coalesce("__none", f"__report.{CORRUPT}").alias(CORRUPT)
+    )
+
+
+def accepted_and_rejected(reports: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The reports that parse, and the others: their further columns and the text as `rejected`.
+
+    Each input row is in one of the two.
+    """
+    rest = [c for c in reports.columns if c not in (*PARTS, CORRUPT)]
+    good = reports.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, reports.filter(F.col(CORRUPT).isNotNull()).select(*rest, F.col(CORRUPT).alias("rejected"))
+
+
+def read_report_checked(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """`accepted_and_rejected` of report files, parsed once into the scratch folder."""
+    return accepted_and_rejected(written(read_report(spark, path, lines), "reports"))
 
 
 def _entries(df: DataFrame, column: str) -> DataFrame:
     # The outer form keeps Spark from parsing the JSON once more to test for empty maps.
-    rest = [c for c in df.columns if c not in ("test_case_report", "adf_run_details")]
+    rest = [c for c in df.columns if c not in (*PARTS, CORRUPT)]
     return df.select(*rest, F.explode_outer(column).alias("__key", "__value")).filter(
         F.col("__key").isNotNull()
     )
@@ -84,6 +111,5 @@ def run_lines(runs: DataFrame) -> DataFrame:
 
 def compact_json(reports: DataFrame, name: str = "report") -> DataFrame:
     """Each report as JSON text on one line."""
-    parts = ("test_case_report", "adf_run_details")
-    rest = [c for c in reports.columns if c not in parts]
-    return reports.select(*rest, F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).alias(name))
+    rest = [c for c in reports.columns if c not in (*PARTS, CORRUPT)]
+    return reports.select(*rest, F.to_json(F.struct(*PARTS), {"ignoreNullFields": "false"}).alias(name))

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.operators.windows import latest_per_key
+from tablejobs.operators.windows import latest_and_count, latest_per_key
 from tablejobs.sources.tables import qualify, scan, short_name
 
 # Names of the change-log columns and the code of a deleted row.
@@ -79,9 +79,12 @@ def read_specs(text: str) -> list[TableSpec]:
     return specs
 
 
-def snapshot(log: DataFrame, spec: TableSpec, dedup: str = "row_number") -> DataFrame:
+def snapshot(log: DataFrame, spec: TableSpec, dedup: str = "row_number", count_as: str | None = None) -> DataFrame:
     """Rank first, filter second, project last.
 
+    `count_as` names a further column with the number of versions of the row's key, which is found together with the latest
+    row in one grouping of one scan; it needs keys and `row_number`.
+
     Filtering deleted rows before the ranking would bring back the version before the deletion, and
     the condition may use columns that are not among the declared ones. It is therefore evaluated to a
     flag up front, so that only declared columns, keys and order reach the ranking and its shuffle.
@@ -89,6 +92,11 @@ def snapshot(log: DataFrame, spec: TableSpec, dedup: str = "row_number") -> Data
     needed = dict.fromkeys([*spec.columns, *spec.keys, *(o.split()[0] for o in spec.order)])
     keep = F.expr(spec.condition) if spec.condition else F.lit(True)
     narrow = log.select(*needed, keep.alias("__keep"))
+    if count_as is not None:
+        if dedup != "row_number" or not spec.keys:
+            raise ValueError(f"versions of {spec.name} can be counted only where one of each key is kept")
+        latest = latest_and_count(narrow, spec.keys, spec.order, count_as)
+        return latest.filter("__keep").select(*spec.columns, count_as)
     latest = latest_per_key(narrow, spec.keys, spec.order, mode=dedup if spec.keys else "none")
     return latest.filter("__keep").select(*spec.columns)
 
@@ -99,13 +107,15 @@ def load_snapshots(
     env: str | None = None,
     dedup: str = "row_number",
     read: Callable[[str], DataFrame] | None = None,
+    counted: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Snapshot of every spec, under its table name without the database.
 
-    `read` maps a full table name to a DataFrame; the default is the session's catalog.
+    `read` maps a full table name to a DataFrame; the default is the session's catalog. `counted` names, for some of the
+    tables, a column that counts the versions of each key.
     """
-    read = read or (lambda name: scan(spark, name))
-    return {short_name(s.name): snapshot(read(qualify(s.name, env)), s, dedup) for s in specs}
+    read, counted = read or (lambda name: scan(spark, name)), counted or {}
+    return {short_name(s.name): snapshot(read(qualify(s.name, env)), s, dedup, counted.get(short_name(s.name))) for s in specs}
 
 
 def reader_of(tables: Mapping[str, DataFrame]) -> Callable[[str], DataFrame]:

@@ -255,11 +255,16 @@ def test_legal_contacts(spark):
     assert duplicate_keys(got, JOBS["legal_contacts"].granularity).isEmpty()
 
 
-def test_numbers_of_contacts_do_not_depend_on_the_slices(spark, sf, monkeypatch):
+def test_numbers_of_contacts_do_not_depend_on_the_ranges(spark, sf):
     inputs = logs(spark, sf, [short_name(t.name) for t in legal.TABLES])
     whole = legal.legal_contacts_of_logs(inputs)
-    monkeypatch.setattr(legal, "IDS_PER_SLICE", 7)
-    assert same(whole, legal.legal_contacts_of_logs(inputs))
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert same(whole, legal.legal_contacts_of_logs(inputs))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 # --- claims and the hub layout -------------------------------------------------------------------
@@ -306,6 +311,25 @@ def test_conform(spark):
         conform(df, {"a": "int", "d": "int", "e": "int"})
 
 
+def test_claims_scan_their_log_once(spark, sf, capsys):
+    text = plan(claims.claims_of_logs(logs(spark, sf, [short_name(t.name) for t in claims.TABLES])), capsys)
+    assert text.count("orders.parquet") == 1
+
+
+def test_misfits_are_counted_in_the_job(spark, tmp_path):
+    job = HubJob(
+        "things", (TableSpec("log.things", ("oid_instid", "_timestamp", "aName"), ("oid_instid",)),),
+        lambda ds: ds["things"].select(F.col("oid_instid").alias("thing"), F.col("aName").alias("size")), {"thing": "bigint", "size": "int"}, "hub.things", ("thing",),
+    )
+    inputs = {"things": log(spark, THING, *[(i, "2024-01-05", "U", {"aName": t}) for i, t in enumerate(["1", "x", None, "y", "4"])])}
+    path = str(tmp_path / "hub")
+    with pytest.raises(ValueError, match="things: values do not fit .*'size': 2"):
+        job.run(spark, "dev", reader_of(inputs), path=path, strict=True)
+    assert not (tmp_path / "hub").exists()
+    assert job.run(spark, "dev", reader_of(inputs), path=path) == {"rows": 5, "size": 2}
+    assert rows(spark.read.parquet(path)) == [(0, 1), (1, None), (2, None), (3, None), (4, 4)]
+
+
 def test_audit_without_versions(spark):
     df = spark.createDataFrame([("x", at("2024-03-31 23:59:59"))], "a string, _timestamp timestamp")
     row = with_audit(df, ["a"], load_dt="2024-04-01").first()

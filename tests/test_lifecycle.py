@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tests.helpers import at, day, plan, rows, same
 
-from checks.lifecycle import sales
+from checks.lifecycle import sales, sales_by_month
 from checks.standins import RUN_DATE
 from tablejobs.plans import lifecycle as job
 from tablejobs.plans.hierarchy import MAPPING_SCHEMA, default_mapping, default_names, with_hierarchy
@@ -245,6 +245,29 @@ def test_segment_plan(spark, sf, capsys):
     assert division.count("Join") == division.count("BroadcastHashJoin") == 1
 
 
+def test_both_reports_share_a_scan(spark, sf):
+    """The final plan reads the sales once: the second report takes the shuffle of the first."""
+    both = job.lifecycle_total_and_division(sales(spark, sf), RUN_DATE)
+    apart = job.total_and_division(job.lifecycle_total(sales(spark, sf), RUN_DATE), job.lifecycle_division(sales(spark, sf), RUN_DATE))
+    assert same(both, apart)
+    both = job.lifecycle_total_and_division(sales(spark, sf), RUN_DATE)
+    both.collect()
+    final = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_months_before_the_look_back_are_not_read(spark, sf, capsys):
+    text = plan(job.base_transactions(sales_by_month(spark, sf), RUN_DATE, month="txn_month"), capsys)
+    assert "PartitionFilters: [isnotnull(txn_month" in text and ">= 199409)" in text
+
+
+def test_customers_of_a_table(spark):
+    df = table(spark, sale(), sale(20000000), sale(30000000))
+    wanted = spark.createDataFrame([(20000000,), (20000000,), (None,), (5,)], "who long")
+    got = job.base_transactions(df, "2001-08-01", customers=wanted)
+    assert rows(got) == rows(job.base_transactions(df, "2001-08-01", customers=[20000000])) and got.count() == 1
+
+
 def test_spine_plan_has_no_join(spark, sf, capsys):
     tx = job.base_transactions(sales(spark, sf), RUN_DATE)
     assert "Join" not in plan(job.customer_spine(tx, RUN_DATE), capsys)

@@ -1,10 +1,12 @@
 from tests.helpers import rows
 
 from tablejobs.sources.reports import (
+    accepted_and_rejected,
     case_lines,
     compact_json,
     parse_report,
     read_report,
+    read_report_checked,
     report_cases,
     report_tables,
     run_lines,
@@ -54,3 +56,14 @@ def test_compact_json_is_one_line(spark):
     text = compact_json(reports).first().report
     assert "\n" not in text and '"result":"PASS","error":"null"' in text
     assert rows(parse_report(compact_json(reports), "report")) == rows(reports)
+
+
+def test_rejected_reports(spark, tmp_path):
+    texts = spark.createDataFrame([(1, REPORT), (2, "{}"), (3, "no json"), (4, None), (5, "")], "n int, report string")
+    good, bad = accepted_and_rejected(parse_report(texts, "report"))
+    assert sorted(r.n for r in good.collect()) == [1, 2] and good.columns == ["n", "test_case_report", "adf_run_details"]
+    assert rows(bad) == [(3, "no json"), (4, ""), (5, "")]
+    (tmp_path / "good.json").write_text(REPORT)
+    (tmp_path / "bad.json").write_text('{"test_case_report": {"TC')
+    good, bad = read_report_checked(spark, str(tmp_path))
+    assert report_cases(good).count() == 2 and [r.rejected for r in bad.collect()] == ['{"test_case_report": {"TC']

@@ -1,10 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tests.helpers import at, day, plan, rows
 
 from tablejobs.operators.windows import (
+    latest_and_count,
     latest_per_key,
     neighbours,
     number_rows,
@@ -58,6 +60,10 @@ def test_no_dedup_and_unknown_mode(log):
 @pytest.mark.parametrize("mode", ["row_number", "rank"])
 def test_latest_is_cut_down_before_the_shuffle(log, capsys, mode):
     text = plan(latest_per_key(log, ["k"], mode=mode), capsys)
+    if mode == "rank":
+        assert "Window" not in text and "LeftSemi" in text
+        assert text.count("partial_max(struct") == 1
+        return
     assert text.count("WindowGroupLimit") == 2
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
@@ -113,8 +119,14 @@ def test_number_rows_against_sorting(spark, depth):
         moment = random.choice([None, at("2024-01-01 10:15:00"), at("2024-01-01 10:45:00"), at("2024-02-01 00:00:00")])
         data.append((key, text, moment, i))
     df = spark.createDataFrame(data, "k string, t string, m timestamp, i int")
-    split = [F.col("t"), F.date_trunc("hour", "m"), F.col("m"), F.floor(F.col("i") / 50)][:depth]
-    got = {r.i: r.n for r in number_rows(df, ["k"], ["t", "m", "i"], "n", split=split).collect()}
+    # Each seed of data in another number of ranges.
+    spark.conf.set("spark.sql.shuffle.partitions", str(1 + 3 * depth))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.i: r.n for r in number_rows(df, ["k"], ["t", "m", "i"], "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     expected = {}
     for key in {r[0] for r in data}:
         group = sorted(
@@ -124,23 +136,56 @@ def test_number_rows_against_sorting(spark, depth):
     assert got == expected
 
 
-def test_slices_of_a_hot_group_are_dealt_out_above_a_join(spark, capsys):
-    """90 % of the rows have one key; the join below has already hashed them by it."""
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_hot_group_is_dealt_out_above_a_join(spark, capsys):
+    """90 % of the rows have one key; the join below has already hashed them by it. The input is read once."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         left = spark.range(4000).select(F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("i"))
         joined = left.join(spark.range(4000).select(F.col("id").alias("k")), "k")
-        numbered = number_rows(joined, ["k"], ["i"], "n", split=[F.floor(F.col("i") / 100)])
+        numbered = number_rows(joined, ["k"], ["i"], "n")
         text = plan(numbered, capsys)
-        assert "Exchange hashpartitioning(k" in text and "__slice0" in text.split("REPARTITION_BY_COL")[0].rsplit("Exchange", 1)[1]
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert "Range (" not in text and text.count("FileScan") == 2
         hot = numbered.filter("k = 0").groupBy(F.spark_partition_id()).count()
         assert hot.count() > 1
         assert numbered.filter("k = 0").agg(F.max("n"), F.countDistinct("n")).first() == (3601, 3601)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_number_rows_edges(spark):
+    nothing = spark.createDataFrame([], "k string, __own int")
+    assert number_rows(nothing, ["k"], ["__own"], "n").columns == ["k", "__own", "n"] and number_rows(nothing, ["k"], ["__own"], "n").isEmpty()
+    same_rows = spark.createDataFrame([(None, 1)] * 50, "k string, i int")
+    assert sorted(r.n for r in number_rows(same_rows, ["k"], ["i"], "n").collect()) == list(range(1, 51))
+
+
+@pytest.mark.parametrize("order", [["t desc"], ["t asc"], ["t desc", "u desc"], ["t asc", "u desc"], ["t"]])
+def test_ties_against_the_window(spark, order):
+    """Ranks by the semi-join are those of a window, with NULLs in keys and order."""
+    random.seed(len(order))
+    pick = lambda *values: random.choice(values)
+    data = [(pick("a", "b", None), pick(1, None), pick(None, 1, 2), pick(None, 5, 6), i) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, j int, t int, u int, i int")
+    got = latest_per_key(df, ["k", "j"], order, mode="rank")
+    window = Window.partitionBy("k", "j").orderBy(*[order_column(t) for t in order])
+    expected = df.withColumn("r", F.rank().over(window)).filter("r = 1").drop("r")
+    assert got.columns == df.columns and rows(got) == rows(expected)
+
+
+def test_latest_and_count(spark):
+    random.seed(9)
+    data = [(random.choice(["a", "b", None]), random.choice([None, 1, 2, 3]), i) for i in range(40)]
+    df = spark.createDataFrame(data, "k string, t int, i int")
+    got = latest_and_count(df, ["k"], ["t desc"], "n")
+    counts = df.groupBy("k").count()
+    assert rows(got.drop("n")) == rows(latest_per_key(df, ["k"], ["t desc"]))
+    assert rows(got.select("k", "n")) == rows(counts)
+    with pytest.raises(ValueError, match="go down"):
+        latest_and_count(df, ["k"], ["t asc"], "n")
 
 
 def test_fingerprint_passes_over_nested_maps(spark):
