@@ -17,8 +17,10 @@ import pyarrow.compute as pc
 
 PIECE_BYTES = 1_000_000
 _MASK = (1 << 64) - 1
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_BYTE_VALUES = np.random.default_rng(20240524).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_WORD_BASE = 0xD1342543DE82EF95
+_GROUP = 8
+# Masks of the first 0 .. 8 bytes of a little-endian 64-bit number.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(_GROUP + 1)], np.uint64)
 
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -142,12 +144,28 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        n = len(self.data)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * _powers(_BYTE_BASE, n), out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * _powers(_inverse(_BYTE_BASE), n + 1)[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        """A 64-bit hash of each word's bytes.
+
+        Groups of eight bytes are mixed with their place in the word, which is not linear, and added up. Words of up to eight
+        bytes and of one length never share a hash.
+        """
+        sizes = self.ends - self.starts
+        length = sizes.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+        if not len(sizes):
+            return length
+        padded = np.concatenate([self.data, np.zeros(_GROUP, np.uint8)])
+        at_byte = np.ndarray(len(self.data) + 1, "<u8", padded.data, strides=(1,))
+        h = mix(at_byte[self.starts] & _FIRST_BYTES[np.minimum(sizes, _GROUP)])
+        long = np.flatnonzero(sizes > _GROUP)
+        if len(long):
+            more = (sizes[long] - 1) // _GROUP
+            first = np.cumsum(more) - more
+            place = np.arange(int(more.sum())) - np.repeat(first, more) + 1
+            start = np.repeat(self.starts[long], more) + _GROUP * place
+            left = np.minimum(np.repeat(self.ends[long], more) - start, _GROUP)
+            groups = mix((at_byte[start] & _FIRST_BYTES[left]) ^ mix(place.astype(np.uint64) * np.uint64(_WORD_BASE)))
+            h[long] += np.add.reduceat(groups, first)
+        return mix(h + length)
 
 
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:

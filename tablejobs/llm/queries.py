@@ -27,7 +27,7 @@ from tablejobs.llm import (
 from tablejobs.llm.labelled import fold
 from tablejobs.session import scratch_dir
 
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -2,8 +2,8 @@
 
 A block of documents is split into words; each distinct word gets its place in the block, in the order of the words'
 hashes. The block sends its distinct words, dealt by ranges of the hash. A range gathers the words of all blocks, encodes
-each distinct word once (words are told apart by 64-bit hashes), and answers every block with ids in the order asked. The documents of the block, kept as places,
-turn into ids by looking up their places. So a word costs the tokenizer once however often it occurs, a frequent word is
+each distinct word once, and answers every block with ids in the order asked. Words are told apart by their bytes; the hash
+only deals them. The documents of the block, kept as places, turn into ids by looking up their places. So a word costs the tokenizer once however often it occurs, a frequent word is
 one entry for each block, and texts are not shuffled: only places are.
 
 A block is known by a hash of its words. Should a task that runs again meet other documents in a block, the id differs
@@ -90,17 +90,18 @@ class _Block:
     """Distinct words of some documents by hash, and the documents as places in this list."""
 
     def __init__(self, pieces: list) -> None:
-        ids, texts, starts, sizes, hashes, counts = zip(*pieces)
+        ids, letters, sizes, counts = zip(*pieces)
         self.ids = [i for own in ids for i in own]
         self.counts = np.concatenate(counts)
-        data, base = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
-        starts = np.concatenate([own + n for own, n in zip(starts, base)])
-        groups = packed.Groups(np.concatenate(hashes))
-        self.hashes = groups.keys
-        self.places = groups.spread(np.arange(len(groups.keys), dtype=np.int32))
-        one = groups.order[groups.begins]
-        self.sizes = np.concatenate(sizes)[one]
-        self._letters = data[spread(starts[one], self.sizes)]
+        own, code = distinct(np.concatenate(letters), np.concatenate(sizes))
+        hashes = own.hashes()
+        order = packed.order_of(hashes)
+        self.hashes = hashes[order]
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.places = place[code]
+        self.sizes = (own.ends - own.starts)[order]
+        self._letters = own.data[spread(own.starts[order], self.sizes)]
         self._ends = np.concatenate([[0], np.cumsum(self.sizes)])
         total = flat.mix(self.hashes ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
         self.name = int(total.view(np.int64))
@@ -110,12 +111,23 @@ class _Block:
         return self._letters[self._ends[low] : self._ends[high]].tobytes()
 
 
+def distinct(letters: np.ndarray, sizes: np.ndarray) -> tuple[flat.Words, np.ndarray]:
+    """The distinct words of a run of words, and for each word which of them it is; compared byte by byte."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+    coded = column.dictionary_encode()
+    data, ends = flat.raw(coded.dictionary)
+    return flat.Words.between(data, ends, ends[:-1], ends[1:]), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _blocks(batches: Iterable[pa.RecordBatch], split: str) -> Iterator[_Block]:
     waiting, size = [], 0
     for batch, data, offsets in flat.pieces(batches, "__text"):
         words = SPLITS[split](data, offsets)
-        found = (words.starts, words.ends - words.starts, words.hashes(), words.counts)
-        waiting.append((batch.column("__id").to_pylist(), data, *found))
+        sizes = words.ends - words.starts
+        # The words one after the other: all bytes, or all but the white space between words.
+        letters = data if int(sizes.sum()) == len(data) else data[~_ANY_SPACE[data]]
+        waiting.append((batch.column("__id").to_pylist(), letters, sizes, words.counts))
         size += len(data)
         if size >= BLOCK_BYTES:
             yield _Block(waiting)
@@ -235,15 +247,12 @@ def _encode(
         rows = table.to_pylist()
         lengths = [packed.unpack_numbers(row["sizes"]).astype(np.int64) for row in rows]
         data = np.frombuffer(b"".join(_grown(row["words"]) for row in rows), np.uint8)
-        ends = np.cumsum(np.concatenate(lengths))
-        words = flat.Words.between(data, np.array([0, len(data)]), ends - np.concatenate(lengths), ends)
-        groups = packed.Groups(words.hashes())
-        one = groups.order[groups.begins]
-        asked = np.split(groups.spread(np.arange(len(one), dtype=np.int64)), np.cumsum([len(x) for x in lengths])[:-1])
-        part = [data[a:b].tobytes().decode() for a, b in zip(words.starts[one].tolist(), words.ends[one].tolist())]
+        words, code = distinct(data, np.concatenate(lengths))
+        asked = np.split(code, np.cumsum([len(x) for x in lengths])[:-1])
+        part = [words.data[a:b].tobytes().decode() for a, b in zip(words.starts.tolist(), words.ends.tolist())]
         sizes, flat_ids = _ids_of(part, path, split)
         first = np.concatenate([[0], np.cumsum(sizes)])
-        out, often = [], np.zeros(len(one), np.int64)
+        out, often = [], np.zeros(len(part), np.int64)
         for row, at in zip(rows, asked):
             ids = flat_ids[spread(first[at], sizes[at])]
             answer = {"sizes": packed.pack_numbers(sizes[at]), "tokens": _shrunk(packed.pack_numbers(ids.astype(np.uint64)))}

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.llm import brute
 
-from tablejobs.llm import collocations, merkle, packing, tokens
+from tablejobs.llm import collocations, flat, jaccard, merkle, packing, substrings, tokens
 from tablejobs.llm.labelled import fold
 from tablejobs.llm.queries import QUERIES, table
 
@@ -238,3 +238,42 @@ def test_manifest(spark, n, langs):
     got = found.withColumn("proof", F.sha2(merkle.proof(F.col("path")), 256)).withColumn("ok", F.col("folded_root") == F.col("root"))
     rows_of = got.select("doc_id", "leaf", "subroot", "root", "proof", "folded_root", "ok").collect()
     assert sorted(map(tuple, rows_of), key=repr) == plain_manifest(rows)
+
+
+# --- equality of words ---------------------------------------------------------------------------
+
+
+def crafted():
+    """Two words of 1,024 letters that any polynomial of an odd base gives one value modulo 2 ** 64."""
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_tell_words_apart():
+    words = [*crafted(), "", "a", "a\0", "b" * 8, "b" * 9, "b" * 16, "b" * 17, "bbbbbbbbcccccccc", "ccccccccbbbbbbbb"]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    own = flat.Words.between(data, np.array([0, len(data)]), np.concatenate([[0], ends[:-1]]), ends).hashes()
+    assert len(set(own.tolist())) == len(words)
+    # A word has one hash wherever it lies.
+    text = " ".join(words[3:] * 3).encode()
+    found = flat.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), flat.NOT_SPACE).hashes()
+    assert found.reshape(3, -1).tolist() == [own[3:].tolist()] * 3
+
+
+def test_crafted_words(spark):
+    one, two = crafted()
+    shared = " ".join(f"w{i}" for i in range(49))
+    docs = [(1, f"{one} {shared}"), (2, f"{two} {shared}"), (3, f"{one} b c d e"), (4, f"{two} b c d e"), (5, one), (6, two)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    removed = {r.doc_id: r.n_removed for r in substrings.remove_repeats(frame).collect()}
+    assert set(removed.values()) == {0}
+    linked = {r.doc_id: r.component_id for r in jaccard.similar_documents(frame).collect()}
+    assert (linked[3], linked[4], linked[5], linked[6]) == (3, 4, 5, 6)
+    for name, split in (("word_bpe_49k.json", "between"), ("byte_bpe_50k.json", "before")):
+        path = public_tokenizers.path(name)
+        library = tokens.tokenizer_of(path)
+        got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokens.encode(frame, path, split=split).collect()}
+        assert got == {d: library.encode(t, add_special_tokens=False).ids for d, t in docs}
