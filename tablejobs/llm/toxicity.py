@@ -5,8 +5,8 @@ letter, everything else a space. An Aho-Corasick automaton finds all terms of th
 phrases; a term inside an exception phrase does not count. The weights of the terms found, as a sum and by length of the
 text, give a probability by a logistic curve.
 
-The lexicon is learnt from labels: words of toxic documents against words of the others, by grouped counts. Its size, and
-the labelled rows that are read for it, are bounded parameters. Terms and the curve come from different rows.
+The lexicon is learnt from labels: words of toxic documents against words of the others, by grouped counts. The labelled
+rows that are read for it are bounded by a parameter, which bounds the lexicon. Terms and the curve come from different rows.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ LOOK_ALIKE = {
     "ı": "i", "ø": "o", "ł": "l", "đ": "d", "ħ": "h", "ß": "s",
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s",
 }
-_TABLE_SIZE = 0x20000
+_TABLE_SIZE = 0x110000
 
 
 @functools.cache
@@ -108,7 +108,15 @@ class Lexicon:
         for end, (length, weight, exception) in automaton.iter(text):
             place = (end - length, end)  # without the spaces around it
             (excused if exception else terms).append((*place, weight))
-        return [(text[a:b], w) for a, b, w in terms if not any(x <= a and b <= y for x, y, _ in excused)]
+        # One sweep by beginnings: the phrase that reaches furthest of those that have begun excuses all it covers.
+        excused.sort()
+        clear, at, reach = [True] * len(terms), 0, -1
+        for i in sorted(range(len(terms)), key=lambda i: terms[i][0]):
+            begin, end, _ = terms[i]
+            while at < len(excused) and excused[at][0] <= begin:
+                reach, at = max(reach, excused[at][1]), at + 1
+            clear[i] = end > reach
+        return [(text[a:b], w) for (a, b, w), own in zip(terms, clear) if own]
 
     def score(self, weight: float, words: int) -> float:
         z = float(np.dot(self.curve, _features(np.array([weight]), np.array([words]))[0]))
