@@ -1,7 +1,7 @@
 """Best-fit packing of pieces of documents into sequences of bounded length, by a grouping genetic algorithm.
 
-1. `cut` turns each text into token ids with an end id and cuts them into pieces. Words are encoded once for each Python
-   worker and looked up afterwards; texts are not shuffled.
+1. `cut` turns each text into token ids with an end id and cuts them into pieces. The distinct words of some megabytes are
+   looked up in what the Python worker has encoded before, and only new ones are encoded; texts are not shuffled.
 2. Pieces shorter than a sequence are dealt evenly to shards of about SHARD_PIECES. A shard is known by the lengths of its
    pieces alone, and is solved by several islands.
 3. An island evolves a population of packings. A crossover injects whole well-filled bins of one parent into another,
@@ -16,7 +16,6 @@ An island ends early at a lower bound (see `lower_bound`), which no packing beat
 from __future__ import annotations
 
 import itertools
-import re
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
@@ -29,68 +28,84 @@ from pyspark.sql import types as T
 
 from tablejobs.llm import flat
 from tablejobs.llm.links import kept
-from tablejobs.llm.tokens import tokenizer_of
+from tablejobs.llm.tokens import distinct, spread, tokenizer_of
 
 CAPACITY, END_ID = 2048, 0
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE, OPEN = 4096, 3, 2, 6, 6, 2, 8
 # Words of each of the two generations that a worker remembers; words forgotten are encoded again.
 REMEMBERED = 500_000
-_TEXTS, _JOINED = 200, 2_000
-# Letters up to punctuation or white space, which no token of a word tokenizer crosses, or all up to white space.
-_WORDS = re.compile(rb"[a-z]+(?=[\s.,;:!?]|$)|\S+")
+_TEXT_BYTES, _JOINED = 4_000_000, 2_000
+# Texts are cut at white space, and between a letter and the punctuation after it, which no token of a word tokenizer crosses.
+_WHITE = flat.byte_class((0x20, 0x20), (0x09, 0x0D))
+_LETTERS, _PUNCTUATION = flat.byte_class((0x61, 0x7A)), flat.byte_class(*[(ord(c), ord(c)) for c in ".,;:!?"])
 
 
 class _Encoder:
     """Token ids of texts for a tokenizer that drops white space and reads A-Z as a-z, by a table of known words.
 
-    Words are encoded some thousands at a time with a bar between them, which is a token of its own between spaces; words
-    that hold a bar are encoded alone. Of the known words the latest two generations are remembered.
+    Words of letters are one run of tokens each, of which the last ends a word, so some thousands are encoded as one text;
+    all others are encoded alone. Of the known words the latest two generations are remembered.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.known, self.older = tokenizer_of(path), {}, {}
-        bar = self.tokenizer.encode(" | ", add_special_tokens=False).ids
-        self.bar = bar[0] if len(bar) == 1 else None
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        pieces = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.ends = np.array([bool(suffix) and (p or "").endswith(suffix) for p in pieces])
 
     def _learn(self, words: list[bytes]) -> None:
-        alone = [w for w in words if self.bar is None or b"|" in w]
-        joined = [w for w in words if self.bar is not None and b"|" not in w]
-        for start in range(0, len(joined), _JOINED):
-            part = joined[start : start + _JOINED]
-            ids = np.array(self.tokenizer.encode(b" | ".join(part).decode(), add_special_tokens=False).ids, "<u4")
-            at = np.flatnonzero(ids == self.bar)
-            if len(at) != len(part) - 1:
+        letters, alone = [], []
+        for word in words:
+            text = word.decode()
+            # Lower case may hold marks that the letters do not.
+            (letters if text.isalpha() and text.lower().isalpha() else alone).append(word)
+        parts = [letters[start : start + _JOINED] for start in range(0, len(letters), _JOINED)]
+        joined = [b" ".join(part).decode() for part in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            at = np.flatnonzero(self.ends[ids])
+            if len(at) != len(part):  # a tokenizer of other rules
                 alone += part
                 continue
             data, low = ids.tobytes(), 0
-            for word, high in zip(part, [*(4 * at).tolist(), len(data)]):
+            for word, high in zip(part, (4 * at + 4).tolist()):
                 self.known[word] = data[low:high]
-                low = high + 4
+                low = high
         for word, found in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+    def _known(self, words: list[bytes]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        split = [_WORDS.findall(t.encode().lower()) for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        gaps, new = [], set()
-        for words, own in zip(split, found):
-            at = -1
-            try:
-                while True:
-                    at = own.index(None, at + 1)
-                    gaps.append((own, at, words[at]))
-                    new.add(words[at])
-            except ValueError:
-                pass
-        again = {w: ids for w in new if (ids := self.older.get(w)) is not None}
-        self.known.update(again)
-        self._learn(list(new - again.keys()))
-        for own, at, word in gaps:
-            own[at] = self.known[word]
-        return [b"".join(own) for own in found]
+        found = list(map(self.known.get, words))
+        if None in found:
+            gaps = [i for i, ids in enumerate(found) if ids is None]
+            again = {w: ids for w in map(words.__getitem__, gaps) if (ids := self.older.get(w)) is not None}
+            self.known.update(again)
+            self._learn([w for w in map(words.__getitem__, gaps) if w not in again])
+            for i in gaps:
+                found[i] = self.known[words[i]]
+        return found
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a piece (see `flat.pieces`), and where those of each text begin and end."""
+        data = flat.LOWER[data]
+        inside = ~_WHITE[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        begin = np.ones(len(data), bool)
+        begin[1:] = ~inside[:-1] | (_LETTERS[data[:-1]] & _PUNCTUATION[data[1:]])
+        begin = inside & (begin | edge[:-1])
+        starts, rank = np.flatnonzero(begin), np.cumsum(inside)
+        bounds = np.append(rank[starts] - 1, rank[-1:])
+        words, code = distinct(data[inside], np.diff(bounds))
+        letters = words.data.tobytes()
+        found = self._known([letters[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist())])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        tokens = np.frombuffer(b"".join(found), "<u4")
+        first = np.cumsum(sizes) - sizes
+        ends = np.concatenate([[0], np.cumsum(sizes[code])])
+        return tokens[spread(first[code], sizes[code])], ends[np.searchsorted(starts, offsets)]
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -119,28 +134,26 @@ def cut(
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
-        for batch in batches:
-            for low in range(0, batch.num_rows, _TEXTS):
-                rows = batch.slice(low, _TEXTS)
-                at, piece, start, size, out = [], [], [], [], []
-                for i, ids in enumerate(encoder.ids([t or "" for t in rows.column("__text").to_pylist()])):
-                    ids += end
-                    for k, first in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[first : first + 4 * capacity]
-                        at.append(i)
-                        piece.append(k)
-                        start.append(first // 4)
-                        size.append(len(own) // 4)
-                        out.append(own)
-                columns = [
-                    rows.column("__id").take(pa.array(at, pa.int64())),
-                    pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(size, pa.int64()),
-                    pa.array(out, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["__id", "piece", "start", "length", "ids"])
-            flat.release()
+        for rows, data, offsets in flat.pieces(batches, "__text", _TEXT_BYTES):
+            at, piece, start, size, out = [], [], [], [], []
+            ids, bounds = encoder.ids(data, offsets)
+            ids = ids.tobytes()
+            for i, (low, high) in enumerate(zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist())):
+                own = ids[low:high] + end
+                for k, first in enumerate(range(0, len(own), 4 * capacity)):
+                    at.append(i)
+                    piece.append(k)
+                    start.append(first // 4)
+                    out.append(own[first : first + 4 * capacity])
+                    size.append(len(out[-1]) // 4)
+            columns = [
+                rows.column("__id").take(pa.array(at, pa.int64())),
+                pa.array(piece, pa.int32()),
+                pa.array(start, pa.int64()),
+                pa.array(size, pa.int64()),
+                pa.array(out, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["__id", "piece", "start", "length", "ids"])
 
     kind = T.StructType(
         [frame.schema["__id"], *[T.StructField(n, t) for n, t in [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType())]]]

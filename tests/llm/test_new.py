@@ -170,7 +170,8 @@ def test_few_words_remembered(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     encoder, library = packing._Encoder(PATH), tokens.tokenizer_of(PATH)
     for text in ("some words here and there", "other words, here; and more", "some words"):
-        assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        ids, bounds = encoder.ids(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert bounds.tolist() == [0, len(ids)] and ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_query(spark, sf):
