@@ -27,8 +27,9 @@ from tablejobs.llm.rans import Coder, quantised
 from tablejobs.llm.tokens import unpack_ids
 
 BLOCK_TOKENS = 1 << 20
-LANES = 2048
-CHECKPOINT_STEPS = 256
+# A checkpoint for every LANES * CHECKPOINT_STEPS = 65,536 tokens; its states take about a tenth of the words it covers.
+LANES = 1024
+CHECKPOINT_STEPS = 64
 LEAST_STEPS = 64
 FILE_TOKENS = 1 << 23
 END = 2

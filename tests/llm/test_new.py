@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 from tests.llm import brute
 
-from tablejobs.llm import collocations, flat, jaccard, merkle, packing, substrings, tokens
+from tablejobs.llm import collocations, flat, jaccard, merkle, packing, substrings, tokenfiles, tokens
 from tablejobs.llm.labelled import fold
 from tablejobs.llm.queries import QUERIES, table
+from tablejobs.session import scratch_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -278,3 +279,29 @@ def test_crafted_words(spark):
         library = tokens.tokenizer_of(path)
         got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokens.encode(frame, path, split=split).collect()}
         assert got == {d: library.encode(t, add_special_tokens=False).ids for d, t in docs}
+
+
+# --- checkpoints of token files ------------------------------------------------------------------
+
+
+def test_tokens_behind_an_interior_checkpoint(spark, monkeypatch):
+    """A long document has a checkpoint for every 65,536 tokens, and what lies before one is not decoded."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = " ".join(f"w{i * 7919 % 10007}" for i in range(60_000))
+    frame = spark.createDataFrame([(1, text), (2, "end")], "doc_id long, text string")
+    found, counts = tokens.encode_and_count(frame, path, split="before")
+    folder = scratch_dir(spark, "files")
+    tokenfiles.write_tokens(found, counts, 2, folder)
+    ids = [*tokens.tokenizer_of(path).encode(text, add_special_tokens=False).ids, 2]
+    block = max(spark.read.parquet(f"{folder}/blocks").collect(), key=lambda r: r.n_tokens)
+    grain = block.lanes * block.every
+    assert grain == 65_536 and len(block.states) // (8 * block.lanes) == -(-block.n_tokens // grain) > 2
+    begins = []
+    decode = tokenfiles.Coder.decode
+    monkeypatch.setattr(tokenfiles.Coder, "decode", lambda *a: begins.append(a[7]) or decode(*a))
+    coder = tokenfiles.Coder(np.frombuffer(spark.read.parquet(f"{folder}/table").first()[0], "<i4"))
+    whole = coder.decode(block.n_tokens, block.lanes, block.every, block.words, block.states, block.places, 1, None)
+    assert begins == [1] and whole.tolist() == ids[grain : block.n_tokens]
+    start = 2 * grain + 5
+    part = tokenfiles.read_from_checkpoints(spark, folder, block.file, start, start + 100).first()
+    assert part.start == start and np.frombuffer(part.ids, "<u4").tolist() == ids[start : start + 100]
