@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tablejobs.llm import flat
 from tablejobs.llm.links import kept
-from tablejobs.llm.tokens import distinct, spread, tokenizer_of
+from tablejobs.llm.tokens import distinct, ends_words, spread, tokenizer_of
 
 CAPACITY, END_ID = 2048, 0
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE, OPEN = 4096, 3, 2, 6, 6, 2, 8
@@ -49,9 +49,7 @@ class _Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.known, self.older = tokenizer_of(path), {}, {}
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        pieces = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
-        self.ends = np.array([bool(suffix) and (p or "").endswith(suffix) for p in pieces])
+        self.ends = ends_words(path)
 
     def _learn(self, words: list[bytes]) -> None:
         letters, alone = [], []

@@ -171,34 +171,50 @@ def encode_and_count(
 def _ids_of(words: list[str], path: str, split: str) -> tuple[np.ndarray, np.ndarray]:
     """How many ids each word has, and all ids in order.
 
-    Words cut before spaces are joined again, some thousands at a time, which a tokenizer reads faster than single ones:
-    no token crosses a cut, and a word that has its only space in front is where a piece with a space begins.
+    Some thousands of words are encoded as one text where the ids tell where one ends, which a tokenizer reads faster than
+    single words: no token crosses a cut. Words cut before spaces begin with the only piece that has a space in front; words
+    of letters end with the only piece that has the suffix of word ends. All others are encoded alone.
     """
     tokenizer = tokenizer_of(path)
-    sizes, out = np.zeros(len(words), np.int64), np.empty(len(words), object)
-    alone = range(len(words))
     if split == "before":
+        mark, glue = _begins_with_space(path), ""
         joined = [i for i, w in enumerate(words) if w[0] == " " and w.count(" ") == 1]
-        single = set(joined)
-        alone = [i for i in alone if i not in single]
-        begins = _begins_with_space(path)
-        for start in range(0, len(joined), _BATCH):
-            part = joined[start : start + _BATCH]
-            ids = np.array(tokenizer.encode("".join([words[i] for i in part]), add_special_tokens=False).ids, "<u4")
-            at = np.flatnonzero(begins[ids])
-            if len(at) != len(part):  # a vocabulary of other rules
-                alone = [*alone, *part]
-                continue
-            sizes[part] = np.diff(np.append(at, len(ids)))
-            for i, own in zip(part, np.split(ids, at[1:])):
-                out[i] = own
-    alone = list(alone)
+    else:
+        mark, glue = ends_words(path), " "
+        # Lower case may hold marks that the letters do not.
+        joined = [i for i, w in enumerate(words) if w.isalpha() and w.lower().isalpha()] if mark.any() else []
+    parts = [joined[start : start + _BATCH] for start in range(0, len(joined), _BATCH)]
+    single = set(joined)
+    alone = [i for i in range(len(words)) if i not in single]
+    sizes, order, out = np.zeros(len(words), np.int64), [], [np.zeros(0, "<u4")]
+    texts = (glue.join([words[i] for i in part]) for part in parts)
+    for part, text in zip(parts, texts):
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(mark[ids])
+        if len(at) != len(part):  # a vocabulary of other rules
+            alone += part
+            continue
+        sizes[part] = np.diff(np.append(at, len(ids))) if split == "before" else np.diff(np.append(-1, at))
+        order += part
+        out.append(ids)
     for start in range(0, len(alone), _BATCH):
         part = alone[start : start + _BATCH]
-        for i, found in zip(part, tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
-            out[i] = found.ids
-            sizes[i] = len(out[i])
-    return sizes, np.concatenate([np.zeros(0, "<u4"), *out]).astype("<u4")
+        found = [e.ids for e in tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)]
+        sizes[part] = [len(ids) for ids in found]
+        order += part
+        out.append(np.array([t for ids in found for t in ids], "<u4"))
+    ids = np.concatenate(out)
+    first = np.zeros(len(words), np.int64)
+    first[order] = np.cumsum(sizes[order]) - sizes[order]
+    return sizes, ids[spread(first, sizes)]
+
+
+@functools.lru_cache(maxsize=2)
+def ends_words(path: str) -> np.ndarray:
+    """Which pieces of a vocabulary with a suffix of word ends have it."""
+    vocabulary = tokenizer_of(path)
+    suffix = getattr(vocabulary.model, "end_of_word_suffix", None)
+    return np.array([bool(suffix) and (vocabulary.id_to_token(i) or "").endswith(suffix) for i in range(vocabulary.get_vocab_size())])
 
 
 @functools.lru_cache(maxsize=2)
