@@ -28,92 +28,11 @@ from pyspark.sql import types as T
 
 from tablejobs.llm import flat
 from tablejobs.llm.links import kept
-from tablejobs.llm.tokens import distinct, ends_words, spread, tokenizer_of
+from tablejobs.llm.wordcache import encoder_of
 
 CAPACITY, END_ID = 2048, 0
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE, OPEN = 4096, 3, 2, 6, 6, 2, 8
-# Words of each of the two generations that a worker remembers; words forgotten are encoded again.
-REMEMBERED = 500_000
-_TEXT_BYTES, _JOINED = 4_000_000, 2_000
-# Texts are cut at white space, and between a letter and the punctuation after it, which no token of a word tokenizer crosses.
-_WHITE = flat.byte_class((0x20, 0x20), (0x09, 0x0D))
-_LETTERS, _PUNCTUATION = flat.byte_class((0x61, 0x7A)), flat.byte_class(*[(ord(c), ord(c)) for c in ".,;:!?"])
-
-
-class _Encoder:
-    """Token ids of texts for a tokenizer that drops white space and reads A-Z as a-z, by a table of known words.
-
-    Words of letters are one run of tokens each, of which the last ends a word, so some thousands are encoded as one text;
-    all others are encoded alone. Of the known words the latest two generations are remembered.
-    """
-
-    def __init__(self, path: str) -> None:
-        self.tokenizer, self.known, self.older = tokenizer_of(path), {}, {}
-        self.ends = ends_words(path)
-
-    def _learn(self, words: list[bytes]) -> None:
-        letters, alone = [], []
-        for word in words:
-            text = word.decode()
-            # Lower case may hold marks that the letters do not.
-            (letters if text.isalpha() and text.lower().isalpha() else alone).append(word)
-        parts = [letters[start : start + _JOINED] for start in range(0, len(letters), _JOINED)]
-        joined = [b" ".join(part).decode() for part in parts]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
-            at = np.flatnonzero(self.ends[ids])
-            if len(at) != len(part):  # a tokenizer of other rules
-                alone += part
-                continue
-            data, low = ids.tobytes(), 0
-            for word, high in zip(part, (4 * at + 4).tolist()):
-                self.known[word] = data[low:high]
-                low = high
-        for word, found in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-
-    def _known(self, words: list[bytes]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        found = list(map(self.known.get, words))
-        if None in found:
-            gaps = [i for i, ids in enumerate(found) if ids is None]
-            again = {w: ids for w in map(words.__getitem__, gaps) if (ids := self.older.get(w)) is not None}
-            self.known.update(again)
-            self._learn([w for w in map(words.__getitem__, gaps) if w not in again])
-            for i in gaps:
-                found[i] = self.known[words[i]]
-        return found
-
-    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts of a piece (see `flat.pieces`), and where those of each text begin and end."""
-        data = flat.LOWER[data]
-        inside = ~_WHITE[data]
-        edge = np.zeros(len(data) + 1, bool)
-        edge[offsets] = True
-        begin = np.ones(len(data), bool)
-        begin[1:] = ~inside[:-1] | (_LETTERS[data[:-1]] & _PUNCTUATION[data[1:]])
-        begin = inside & (begin | edge[:-1])
-        starts, rank = np.flatnonzero(begin), np.cumsum(inside)
-        bounds = np.append(rank[starts] - 1, rank[-1:])
-        words, code = distinct(data[inside], np.diff(bounds))
-        letters = words.data.tobytes()
-        found = self._known([letters[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist())])
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        tokens = np.frombuffer(b"".join(found), "<u4")
-        first = np.cumsum(sizes) - sizes
-        ends = np.concatenate([[0], np.cumsum(sizes[code])])
-        return tokens[spread(first[code], sizes[code])], ends[np.searchsorted(starts, offsets)]
-
-
-_ENCODERS: dict[str, _Encoder] = {}
-
-
-def encoder_of(path: str) -> _Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = _Encoder(path)
-    return _ENCODERS[path]
+_TEXT_BYTES = 4_000_000
 
 
 def cut(
@@ -131,7 +50,7 @@ def cut(
     frame = docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        encoder = encoder_of(path, "between")
         for rows, data, offsets in flat.pieces(batches, "__text", _TEXT_BYTES):
             at, piece, start, size, out = [], [], [], [], []
             ids, bounds = encoder.ids(data, offsets)

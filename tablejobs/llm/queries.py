@@ -23,6 +23,7 @@ from tablejobs.llm import (
     tokens,
     toxicity,
     warc,
+    wordcache,
 )
 from tablejobs.llm.labelled import fold
 from tablejobs.session import scratch_dir
@@ -85,9 +86,9 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found, counts = tokens.encode_and_count(docs, f"{TOKENIZERS}/byte_bpe_50k.json", split="before")
+    found, counts = wordcache.encode_and_count(docs, public_tokenizers.path("byte_bpe_50k.json"), split="before")
     path = scratch_dir(spark, "token-files")
-    tokenfiles.write_tokens(found, counts, docs.count(), path)
+    tokenfiles.write_tokens(found, counts, found.count(), path)
     return tokenfiles.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -168,7 +168,7 @@ def encode_and_count(
     return _encode(docs, path, id, text, split, counted=True)
 
 
-def _ids_of(words: list[str], path: str, split: str) -> tuple[np.ndarray, np.ndarray]:
+def ids_of(words: list[str], path: str, split: str) -> tuple[np.ndarray, np.ndarray]:
     """How many ids each word has, and all ids in order.
 
     Some thousands of words are encoded as one text where the ids tell where one ends, which a tokenizer reads faster than
@@ -180,7 +180,7 @@ def _ids_of(words: list[str], path: str, split: str) -> tuple[np.ndarray, np.nda
         mark, glue = _begins_with_space(path), ""
         joined = [i for i, w in enumerate(words) if w[0] == " " and w.count(" ") == 1]
     else:
-        mark, glue = ends_words(path), " "
+        mark, glue = _ends_words(path), " "
         # Lower case may hold marks that the letters do not.
         joined = [i for i, w in enumerate(words) if w.isalpha() and w.lower().isalpha()] if mark.any() else []
     parts = [joined[start : start + _BATCH] for start in range(0, len(joined), _BATCH)]
@@ -210,7 +210,7 @@ def _ids_of(words: list[str], path: str, split: str) -> tuple[np.ndarray, np.nda
 
 
 @functools.lru_cache(maxsize=2)
-def ends_words(path: str) -> np.ndarray:
+def _ends_words(path: str) -> np.ndarray:
     """Which pieces of a vocabulary with a suffix of word ends have it."""
     vocabulary = tokenizer_of(path)
     suffix = getattr(vocabulary.model, "end_of_word_suffix", None)
@@ -266,7 +266,7 @@ def _encode(
         words, code = distinct(data, np.concatenate(lengths))
         asked = np.split(code, np.cumsum([len(x) for x in lengths])[:-1])
         part = [words.data[a:b].tobytes().decode() for a, b in zip(words.starts.tolist(), words.ends.tolist())]
-        sizes, flat_ids = _ids_of(part, path, split)
+        sizes, flat_ids = ids_of(part, path, split)
         first = np.concatenate([[0], np.cumsum(sizes)])
         out, often = [], np.zeros(len(part), np.int64)
         for row, at in zip(rows, asked):

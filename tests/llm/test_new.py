@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.llm import brute
 
-from tablejobs.llm import collocations, flat, jaccard, merkle, packing, substrings, tokenfiles, tokens
+from tablejobs.llm import collocations, flat, jaccard, merkle, packing, substrings, tokenfiles, tokens, wordcache
 from tablejobs.llm.labelled import fold
 from tablejobs.llm.queries import QUERIES, table
 from tablejobs.session import scratch_dir
@@ -167,12 +167,28 @@ def test_pieces(spark):
     assert got == sorted(expected)
 
 
-def test_few_words_remembered(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
-    encoder, library = packing._Encoder(PATH), tokens.tokenizer_of(PATH)
-    for text in ("some words here and there", "other words, here; and more", "some words"):
-        ids, bounds = encoder.ids(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
-        assert bounds.tolist() == [0, len(ids)] and ids.tolist() == library.encode(text, add_special_tokens=False).ids
+@pytest.mark.parametrize("name, split", [("word_bpe_49k.json", "between"), ("byte_bpe_50k.json", "before")])
+def test_few_words_remembered(monkeypatch, name, split):
+    monkeypatch.setattr(wordcache, "REMEMBERED", 3)
+    path = public_tokenizers.path(name)
+    encoder, library = wordcache.Encoder(path, split), tokens.tokenizer_of(path)
+    texts = ["some words here and there", "", "Other words, here; and more.\n\nSo  a.b,c don't!", " some words ", "ÉCLAIR 3.5!! x́\x1c y. z 数学.", "a"]
+    for own in (texts[:2], texts[2:], texts):
+        data = "".join(own).encode()
+        offsets = np.cumsum([0, *[len(t.encode()) for t in own]])
+        ids, bounds = encoder.ids(np.frombuffer(data, np.uint8), offsets)
+        got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in own]
+
+
+def test_encode_and_count(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = [(1, "some words, some more."), (1, "some"), (None, None), (3, "")]
+    found, counts = wordcache.encode_and_count(spark.createDataFrame(docs, "doc_id long, text string"), path, split="before")
+    ids = [tokens.tokenizer_of(path).encode(t or "", add_special_tokens=False).ids for _, t in docs]
+    got = sorted((r.doc_id is None, r.doc_id, r.n_tokens, tokens.unpack_ids(r.packed).tolist()) for r in found.collect())
+    assert got == sorted((d is None, d, len(own), own) for (d, _), own in zip(docs, ids))
+    assert {r.token: r.n for r in counts.collect()} == Counter(t for own in ids for t in own)
 
 
 def test_packing_query(spark, sf):
