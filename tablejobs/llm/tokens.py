@@ -136,12 +136,18 @@ def _blocks(batches: Iterable[pa.RecordBatch], split: str) -> Iterator[_Block]:
         yield _Block(waiting)
 
 
+@functools.cache
+def _compressors() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One pair for a worker: making them costs more than a short text does."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def _shrunk(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return _compressors()[0].compress(data)
 
 
 def _grown(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _compressors()[1].decompress(data)
 
 
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", split: str = "between") -> DataFrame:

@@ -117,9 +117,10 @@ def encode_and_count(
         encoder = encoder_of(path, split)
         for rows, data, offsets in flat.pieces(batches, "__text", TEXT_BYTES):
             ids, bounds = encoder.ids(data, offsets)
-            token, n = np.unique(ids, return_counts=True)
+            n = np.bincount(ids)
+            token = np.flatnonzero(n)
             own = [pack_ids(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            often = [np.stack([token.astype(np.int64), n]).astype("<i8").tobytes()] + [None] * (len(own) - 1)
+            often = [np.stack([token, n[token]]).astype("<i8").tobytes()] + [None] * (len(own) - 1)
             columns = [rows.column("__id"), pa.array(np.diff(bounds)), pa.array(own, pa.binary()), pa.array(often, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["__id", "n_tokens", "packed", "often"])
 
