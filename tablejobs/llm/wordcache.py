@@ -47,8 +47,10 @@ def _between(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _before(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As `_between`, for a byte-level tokenizer: every byte is in a word."""
-    starts = before_spaces(data, offsets).starts
-    starts = np.union1d(starts[starts < len(data)], np.flatnonzero(_after_letters(data)))
+    cut = np.zeros(len(data) + 1, bool)
+    cut[before_spaces(data, offsets).starts] = True
+    cut[:-1] |= _after_letters(data)
+    starts = np.flatnonzero(cut[:-1])
     return starts, data, np.diff(np.append(starts, len(data)))
 
 
