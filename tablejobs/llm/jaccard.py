@@ -35,6 +35,8 @@ PERCENT = 80
 # Sets in a block of the comparisons that are open after the leaders'. The result does not depend on it.
 BLOCK = 512
 _STEP = 64
+# Features counted at once in these comparisons: about 75 MB. The result does not depend on it.
+STRIP = 1 << 15
 _LARGEST = 1 << 31
 
 
@@ -309,7 +311,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if x is not known[0] and x != known[0]:
                     known = (x, packed.unpack_sorted(x))
                 a, b = known[1], packed.unpack_sorted(y)
-                both = len(a) + len(b) - len(np.union1d(a, b))
+                both = len(a) + len(b) - len(flat.distinct_sorted(np.concatenate([a, b])))
                 same.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
@@ -349,8 +351,7 @@ def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
             size_b = np.array([len(v) for v in b])[None, :]
             for low in range(0, len(a), _STEP):
                 part = a[low : low + _STEP]
-                common = np.unique(np.concatenate(part))
-                both_ = _incidence(part, common) @ _incidence(b, common).T
+                both_ = _in_common(part, b)
                 total = np.array([len(v) for v in part])[:, None] + size_b - both_
                 for i, j in zip(*np.nonzero(100 * both_ >= percent * total)):
                     ends = tuple(sorted((x[low + i]["label"], y[j]["label"])))
@@ -361,13 +362,24 @@ def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     return left.groupBy("block", "other").cogroup(right.groupBy("r_block", "r_other")).applyInArrow(compare, "a long, b long")
 
 
+def _in_common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many features each set of `a` shares with each of `b`, counted in strips of the features of `a`, so that memory does
+    not grow with the length of the sets; exact up to 2 ** 24 common features in a strip."""
+    features = flat.distinct_sorted(np.concatenate(a))
+    total = np.zeros((len(a), len(b)), np.int64)
+    for low in range(0, len(features), STRIP):
+        strip = features[low : low + STRIP]
+        total += (_incidence(a, strip) @ _incidence(b, strip).T).astype(np.int64)
+    return total
+
+
 def _incidence(sets: list[np.ndarray], features: np.ndarray) -> np.ndarray:
-    """Sets x features, 1 where a set has the feature; exact up to 2 ** 24 common features."""
+    """Sets x features, 1 where a sorted set has the feature."""
     out = np.zeros((len(sets), len(features)), np.float32)
     for row, own in zip(out, sets):
-        if len(features):
-            place = np.minimum(np.searchsorted(features, own), len(features) - 1)
-            row[place[features[place] == own]] = 1
+        own = own[np.searchsorted(own, features[0]) : np.searchsorted(own, features[-1], "right")]
+        place = np.searchsorted(features, own)
+        row[place[features[place] == own]] = 1
     return out
 
 
