@@ -1,17 +1,22 @@
 """Document fingerprints by locally consistent parsing.
 
-A text is parsed in levels. On each level, runs of equal symbols become one symbol; deterministic coin tossing compares
-each symbol with the one before it until the labels are below six; symbols whose label is larger than both neighbours'
-begin a phrase. A phrase's name is a hash of its symbols, and the names are the symbols of the next level. Where a phrase
-begins depends on a few symbols around it only, so equal substrings get the same names inside, wherever they lie.
-
-The fingerprint of a text is the SKETCH smallest of its distinct names of LEVELS, as hexadecimal text (of level 1 too for a short text). Two fingerprints
-tell how much their texts share: twice the common names over all names (1 for equal sets, 0 for disjoint ones).
+A text is parsed in levels until one phrase is left. On each level, runs of equal symbols become one symbol; deterministic
+coin tossing compares each symbol with the one before it until the labels are below six; symbols whose label is larger than
+both neighbours' begin a phrase, as does the first one of a text; the last one begins none. A phrase's name is a hash of its
+symbols, and the names are the symbols of the next level. Where a phrase begins depends on a few symbols around it only, so
+equal substrings get the same names inside, wherever they lie.
+
+The fingerprint of a text holds, for each level, the SKETCH smallest of its distinct names, as hexadecimal text with a dash
+between levels. Two fingerprints are compared level by level: twice the common names over all names (1 for equal sets, 0 for
+disjoint ones). From the finest level up, a level of n names (SKETCH at most) counts n parts against SKETCH parts of what the
+finer levels say, so large phrases decide where a text has many of them, and small ones where it has few. The rule is the
+same for all lengths.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +26,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.llm import flat, packed
 
-LEVELS = (2, 3, 4)
 SKETCH = 64
-# Texts of fewer bytes have the names of level 1 in their fingerprint too.
-SHORT = 128
 _NAME_BYTES = 5
 _PIECE_BYTES = 500_000
 
@@ -58,10 +60,10 @@ def _phrases(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     label = _toss(symbols, start)
     for _ in range(2 if symbols.dtype == np.uint8 else 3):
         label = _toss(label, start)
-    top = np.ones(len(label), bool)
-    top[1:] = label[1:] > label[:-1]
-    top[:-1] &= label[:-1] > label[1:]
-    top[begins] = True
+    top = np.zeros(len(label), bool)
+    top[1:-1] = (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
+    top[start[1:] - 1] = False
+    top[start] = True
     mark = np.flatnonzero(top)
     place = np.arange(len(label)) - np.repeat(mark, np.diff(np.append(mark, len(label))))
     value = flat.mix(symbols.astype(np.uint64) + length * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -69,51 +71,54 @@ def _phrases(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return names, np.flatnonzero(begins[mark])
 
 
-def sketches(texts: list[bytes]) -> list[np.ndarray]:
-    """The sorted names in the fingerprint of each text; none for an empty text."""
-    out = [np.zeros(0, np.uint64)] * len(texts)
-    full = [i for i, t in enumerate(texts) if t]
-    if not full:
-        return out
-    symbols = np.frombuffer(b"".join(texts[i] for i in full), np.uint8)
-    first = np.cumsum([0, *(len(texts[i]) for i in full)])[:-1]
-    short = np.array([len(texts[i]) < SHORT for i in full])
-    found = []
-    for level in range(1, max(LEVELS) + 1):
+def sketches(texts: list[bytes]) -> list[list[np.ndarray]]:
+    """The sorted names in the fingerprint of each text, by level; no level for an empty text."""
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    left = np.array([i for i, t in enumerate(texts) if t], np.int64)
+    symbols = np.frombuffer(b"".join(texts), np.uint8)
+    first = np.cumsum([0, *(len(texts[i]) for i in left.tolist())])[:-1]
+    while len(left):
         symbols, first = _phrases(symbols, first)
-        if level in LEVELS or level == 1:
-            doc = np.repeat(np.arange(len(first), dtype=np.uint64), np.diff(np.append(first, len(symbols))))
-            if level not in LEVELS:
-                few = short[doc.astype(np.int64)]
-                doc, symbols_here = doc[few], symbols[few]
-            else:
-                symbols_here = symbols
-            found.append((doc << np.uint64(8 * _NAME_BYTES)) | (symbols_here >> np.uint64(64 - 8 * _NAME_BYTES)))
-    names = np.unique(np.concatenate(found))
-    doc = (names >> np.uint64(8 * _NAME_BYTES)).astype(np.int64)
-    names &= np.uint64((1 << 8 * _NAME_BYTES) - 1)
-    bounds = np.searchsorted(doc, np.arange(len(full) + 1))
-    for n, i in enumerate(full):
-        out[i] = names[bounds[n] : min(bounds[n + 1], bounds[n] + SKETCH)]
+        sizes = np.diff(np.append(first, len(symbols)))
+        doc = np.repeat(np.arange(len(left), dtype=np.uint64), sizes)
+        names = flat.distinct_sorted((doc << np.uint64(8 * _NAME_BYTES)) | (symbols >> np.uint64(64 - 8 * _NAME_BYTES)))
+        bounds = np.searchsorted(names, np.arange(len(left) + 1, dtype=np.uint64) << np.uint64(8 * _NAME_BYTES)).tolist()
+        names &= np.uint64((1 << 8 * _NAME_BYTES) - 1)
+        for n, i in enumerate(left.tolist()):
+            out[i].append(names[bounds[n] : min(bounds[n + 1], bounds[n] + SKETCH)])
+        more = sizes > 1
+        symbols = symbols[np.repeat(more, sizes)]
+        left, sizes = left[more], sizes[more]
+        first = np.cumsum(sizes) - sizes
     return out
 
 
-def spelled(sketch: np.ndarray) -> str:
-    return sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _NAME_BYTES :].tobytes().hex()
+def spelled(sketch: list[np.ndarray]) -> str:
+    return "-".join(n.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _NAME_BYTES :].tobytes().hex() for n in sketch)
 
 
-def read(fingerprint: str) -> list[str]:
-    return [fingerprint[i : i + 2 * _NAME_BYTES] for i in range(0, len(fingerprint), 2 * _NAME_BYTES)]
+def read(fingerprint: str) -> list[list[int]]:
+    """The names of each level."""
+    width = 2 * _NAME_BYTES
+    levels = fingerprint.split("-") if fingerprint else []
+    return [[int(names[i : i + width], 16) for i in range(0, len(names), width)] for names in levels]
 
 
 def likeness(a: str, b: str) -> float:
     """How alike the texts of two fingerprints are, from 0 to 1; two empty texts are alike."""
+    return _alike(read(a), read(b))
+
+
+def _alike(a: list[list[int]], b: list[list[int]]) -> float:
     if a == b:
         return 1.0
-    x, y = set(read(a)), set(read(b))
-    union = sorted(x | y)[:SKETCH]
-    both = sum(n in x and n in y for n in union)
-    return 2 * both / (len(union) + both)
+    found = None
+    for x, y in zip_longest(a, b, fillvalue=()):
+        union = sorted({*x, *y})[:SKETCH]
+        both = len({*union}.intersection(x).intersection(y))
+        alike, n = 2 * both / (len(union) + both), len(union)
+        found = alike if found is None else (n * alike + SKETCH * found) / (n + SKETCH)
+    return found
 
 
 def fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
@@ -204,15 +209,15 @@ def _compared(held: list[tuple[int | None, str]]) -> pa.RecordBatch:
     """The row of each document but the last, which is the next of the one before it."""
     texts = [t for _, t in held]
     edited = [a[: len(a) - len(a) // 3] + b[: len(a) // 3] for a, b in zip(texts, texts[1:])]
-    own = [spelled(s) for s in sketches([t.encode() for t in texts])]
-    new = [spelled(s) for s in sketches([t.encode() for t in edited])]
+    own, new = sketches([t.encode() for t in texts]), sketches([t.encode() for t in edited])
+    own_names, new_names = ([[n.tolist() for n in s] for s in kind] for kind in (own, new))
     columns = [
         pa.array([d for d, _ in held[:-1]], pa.int64()),
         pa.array([len(t) for t in texts[:-1]], pa.int64()),
         pa.array(edited, pa.string()),
-        pa.array(own[:-1], pa.string()),
-        pa.array(new, pa.string()),
-        pa.array([likeness(a, b) for a, b in zip(own, new)], pa.float64()),
-        pa.array([likeness(a, b) for a, b in zip(own, own[1:])], pa.float64()),
+        pa.array([spelled(s) for s in own[:-1]], pa.string()),
+        pa.array([spelled(s) for s in new], pa.string()),
+        pa.array([_alike(a, b) for a, b in zip(own_names, new_names)], pa.float64()),
+        pa.array([_alike(a, b) for a, b in zip(own_names, own_names[1:])], pa.float64()),
     ]
     return pa.RecordBatch.from_arrays(columns, ["id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
