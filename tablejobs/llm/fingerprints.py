@@ -8,9 +8,9 @@ equal substrings get the same names inside, wherever they lie.
 
 The fingerprint of a text holds, for each level, the SKETCH smallest of its distinct names, as hexadecimal text with a dash
 between levels. Two fingerprints are compared level by level: twice the common names over all names (1 for equal sets, 0 for
-disjoint ones). From the finest level up, a level of n names (SKETCH at most) counts n parts against SKETCH parts of what the
-finer levels say, so large phrases decide where a text has many of them, and small ones where it has few. The rule is the
-same for all lengths.
+disjoint ones). From the finest level up, a level of n names (SKETCH at most) counts n ** 2 parts against SKETCH ** 2 parts of
+what the finer levels say: large phrases decide where a text has many of them; where it has few, most of these reach over an
+edge of what is shared, and small ones decide. The rule is the same for all lengths.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def _alike(a: list[list[int]], b: list[list[int]]) -> float:
         union = sorted({*x, *y})[:SKETCH]
         both = len({*union}.intersection(x).intersection(y))
         alike, n = 2 * both / (len(union) + both), len(union)
-        found = alike if found is None else (n * alike + SKETCH * found) / (n + SKETCH)
+        found = alike if found is None else (n**2 * alike + SKETCH**2 * found) / (n**2 + SKETCH**2)
     return found
 
 
