@@ -393,6 +393,31 @@ def running_ranges(spark, sf):
     return running_range(days, ["o_custkey", "o_orderstatus"], ["d"], "d", "o_totalprice")
 
 
+@query(
+    "running_ranges_moments",
+    """SELECT DISTINCT event_type, ts, min(user_id) OVER w AS range_start, max(user_id) OVER w AS range_end FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def running_ranges_moments(spark, sf):
+    """A few groups, each with any number of moments."""
+    return running_range(read(spark, sf, "events"), ["event_type"], ["ts"], "user_id", "user_id", spread=True)
+
+
+@query(
+    "asof_latest_error",
+    """SELECT l.event_id, l.shard, l.ts, r.ts AS error_at, r.error_id
+FROM (SELECT event_id, user_id % 4 AS shard, ts FROM events WHERE event_type <> 'error') l
+ASOF LEFT JOIN (SELECT user_id % 4 AS shard, ts, max(event_id) AS error_id FROM events WHERE event_type = 'error' GROUP BY ALL) r
+  ON l.shard = r.shard AND l.ts >= r.ts""",
+)
+def asof_latest_error(spark, sf):
+    """Every other event of a shard with the error before it, by moments."""
+    events = read(spark, sf, "events").withColumn("shard", F.col("user_id") % 4)
+    others = events.filter("event_type <> 'error'").select("event_id", "shard", "ts")
+    errors = events.filter("event_type = 'error'").selectExpr("shard", "ts AS error_at", "event_id AS error_id")
+    return asof_latest(others, errors, ["shard"], "ts", "error_at", ["error_id"], spread=True)
+
+
 @query(
     "group_without_aggregates",
     f"""SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS d FROM orders

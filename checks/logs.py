@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import query
@@ -22,7 +24,9 @@ from tablejobs.operators.windows import latest_per_key, number_rows
 from tablejobs.plans import activity, claims, history, legal
 from tablejobs.plans.hub import conform, duplicate_keys, version_counts, with_audit
 from tablejobs.plans.jobs import JOBS
+from tablejobs.session import scratch_dir
 from tablejobs.sources.snapshots import TableSpec, load_snapshots, reader_of, short_name
+from tablejobs.sources.tables import qualify, scan, write_bucketed
 
 OID = "oid_clsno, oid_instid"
 
@@ -146,6 +150,23 @@ def composite_join_star(spark, sf):
     )
 
 
+@query(
+    "catalog_star",
+    """SELECT l_orderkey, l_linenumber, l_quantity, o_orderstatus, c_name
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey""",
+)
+def catalog_star(spark, sf):
+    """A star over catalog tables; the two large ones lie in buckets of the order."""
+    tables, env = _as_objects(spark, sf), f"run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {qualify('{db_env}_objects', env)} LOCATION '{scratch_dir(spark, 'catalog')}'")
+    for name, ref in (("line", "myOrder"), ("orders", "oid"), ("customer", "oid")):
+        write_bucketed(tables[name], qualify(f"{{db_env}}_objects.{name}", env), ref)
+    ds = {name: scan(spark, f"{{db_env}}_objects.{name}", env) for name in ("line", "orders", "customer")}
+    edges = [Edge("o", "orders", "l.myOrder", "o.oid", "inner"), Edge("c", "customer", "o.myCustomer", "c.oid")]
+    star = star_join(ds, ("l", "line"), edges)
+    return star.select("l_orderkey", "l_linenumber", "l_quantity", "o_orderstatus", "c_name")
+
+
 @query(
     "broadcast_lookup",
     "SELECT c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey < 3",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.functions.dates import DateLike, as_date
 from tablejobs.functions.text import all_of
+from tablejobs.operators.windows import Ranges
 
 HALVES = ("clsno", "instid")
 
@@ -134,12 +135,16 @@ def asof_latest(
     left_day: str,
     right_day: str,
     values: Sequence[str],
+    spread: bool = False,
 ) -> DataFrame:
     """Each left row with `right_day` and `values` of the latest right row of its key on or before its day.
 
     All left rows of one key and day have the same answer. So both sides are first reduced to one mark
     per key and day (map-side), the forward fill runs over these marks only, and the answers are joined
     back on key and day. Of several right rows on a day the one with the greatest values counts.
+
+    `spread` is for moments instead of days, of which a key may have any number: the marks are cut into ranges, the fill runs
+    inside a range, and the latest find before it is carried into it. Left rows without a key or a day find nothing.
     """
     asked = left.select(*keys, F.col(left_day).alias("__day"), F.lit(True).alias("__asked"))
     found = right.select(
@@ -154,9 +159,14 @@ def asof_latest(
         .groupBy(*keys, "__day")
         .agg(F.max("__asked").alias("__asked"), F.max("__found").alias("__found"))
     )
-    so_far = Window.partitionBy(*keys).orderBy("__day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups, before = Window.partitionBy(*keys), F.lit(None)
+    if spread:
+        ranges = Ranges(marks, keys, [F.col("__day").asc()])
+        # The day comes first in a find, so the greatest is the latest.
+        marks, groups, before = ranges.carrying({"__before": (F.max("__found"), F.max)}), ranges.inside(), F.col("__before")
+    so_far = groups.orderBy("__day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     answers = (
-        marks.withColumn("__found", F.last("__found", ignorenulls=True).over(so_far))
+        marks.withColumn("__found", F.coalesce(F.last("__found", ignorenulls=True).over(so_far), before))
         .filter("__asked")
         .select(*[F.col(k).alias(f"__right_{k}") for k in keys], "__day", "__found.*")
     )

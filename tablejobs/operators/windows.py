@@ -142,21 +142,33 @@ def running_range(
     end: str,
     carry: Sequence[str] = (),
     names: tuple[str, str] = ("range_start", "range_end"),
+    spread: bool = False,
 ) -> DataFrame:
     """Running MIN(start) and MAX(end) of each partition in the given order, rows of equal order included.
 
     One row per distinct (partition, order, carry). Rows that agree on all of these get the same
     range, so they are merged before the window runs; the window then sees distinct order values only.
+
+    `spread` is for orders without a bound on their values, such as timestamps: the whole table is then cut into ranges, the
+    window runs inside a range, and the range of what lies before is carried into it. A partition of any size lies in
+    as many tasks as it has ranges. NULL orders come first; NULL starts and ends count for nothing.
     """
     low, high = names
     merged = df.groupBy(*partition, *[c for c in order if c not in partition], *carry).agg(
         F.min(start).alias("__low"), F.max(end).alias("__high")
     )
-    window = Window.partitionBy(*partition).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    sort = [F.col(c).asc_nulls_first() for c in order]
+    window = Window.partitionBy(*partition).orderBy(*sort)
+    before = [F.lit(None), F.lit(None)]
+    if spread:
+        ranges = Ranges(merged, partition, sort)
+        merged = ranges.carrying({"__low_before": (F.min("__low"), F.min), "__high_before": (F.max("__high"), F.max)})
+        window = ranges.inside().orderBy(*sort)
+        before = [F.col("__low_before"), F.col("__high_before")]
     return (
-        merged.withColumn(low, F.min("__low").over(window))
-        .withColumn(high, F.max("__high").over(window))
-        .drop("__low", "__high")
+        merged.withColumn(low, F.least(F.min("__low").over(window), before[0]))
+        .withColumn(high, F.greatest(F.max("__high").over(window), before[1]))
+        .drop("__low", "__high", "__low_before", "__high_before", "__range", "__at")
     )
 
 

@@ -62,3 +62,31 @@ def write_hub(
         balanced.select(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
     else:
         writer.partitionBy(*partitions).format("parquet").saveAsTable(table)
+
+
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    ref: str,
+    buckets: int | None = None,
+    uneven: float = 4.0,
+    task_rows: int = 1_000_000,
+) -> bool:
+    """Writes a new catalog table in buckets of the object reference `ref`, so that joins on it move no row.
+
+    Tables of one number of buckets (by default that of the session's shuffle partitions) are joined bucket by bucket.
+    One task reads a bucket, and nothing splits it later. So rows are counted by bucket first: if one would hold more than
+    `uneven` times its even share and more than `task_rows`, the table is written without buckets, and its joins are shuffled,
+    where adaptive execution splits hot keys. Returns whether there are buckets. NULL references share one.
+    """
+    halves = [f"{ref}_clsno", f"{ref}_instid"]
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.groupBy(F.pmod(F.hash(*halves), F.lit(n)).alias("bucket")).count()
+    largest, total = sizes.agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    if largest > max(uneven * total / n, task_rows):
+        df.write.format("parquet").saveAsTable(table)
+        return False
+    # The partition of a row is its bucket: one file for each.
+    dealt = df.repartition(n, *halves)
+    dealt.write.format("parquet").bucketBy(n, *halves).sortBy(*halves).saveAsTable(table)
+    return True
