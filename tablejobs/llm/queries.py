@@ -16,6 +16,7 @@ from tablejobs.llm import (
     jaccard,
     languages,
     merkle,
+    oracles,
     packing,
     quality,
     substrings,
@@ -31,7 +32,7 @@ from tablejobs.session import scratch_dir
 TOKENIZERS = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.SQL)
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
