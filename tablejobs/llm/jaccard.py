@@ -160,7 +160,8 @@ def shingle_sets(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
 
 def _groups(docs: DataFrame, text: str, width: int, bands: Bands) -> DataFrame:
     """(sig, key, weight) of all sets that share enough signatures; the weight tells how much a set shares with others."""
-    ranges = max(packed.number_of_batches(docs, text) // 4, 2 * docs.sparkSession.sparkContext.defaultParallelism)
+    # A range has the signatures of about 16 MB of text, some three million, whatever the input is.
+    ranges = max(packed.number_of_batches(docs, text) // 2, 4 * docs.sparkSession.sparkContext.defaultParallelism)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list = []
