@@ -271,3 +271,13 @@ def test_customers_of_a_table(spark):
 def test_spine_plan_has_no_join(spark, sf, capsys):
     tx = job.base_transactions(sales(spark, sf), RUN_DATE)
     assert "Join" not in plan(job.customer_spine(tx, RUN_DATE), capsys)
+
+
+def test_days_are_dealt_by_their_number(spark, sf, monkeypatch):
+    """Not by their size in the shuffle, which adaptive execution would merge."""
+    sold = sales(spark, sf)
+    expected = job.lifecycle_division(sold, RUN_DATE)
+    monkeypatch.setattr(job, "DEALT_ROWS", 100)
+    tasks = job.base_transactions(sold, RUN_DATE).count() // 100 + 1
+    assert job.dealt_days(job.base_transactions(sold, RUN_DATE), job.TOTAL_KEYS).rdd.getNumPartitions() == tasks > 4
+    assert same(job.lifecycle_division(sold, RUN_DATE), expected)
