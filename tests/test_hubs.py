@@ -368,3 +368,10 @@ def test_registered_jobs_match_their_layouts(spark):
     inputs = empty_inputs(spark, history.LOG_TABLES)
     built = JOBS["workflow_history"].build(spark, "dev", reader_of(inputs))
     assert dict(built.dtypes) == history.TARGET
+
+
+def test_changes_are_moved_last(spark, sf, capsys):
+    """Each kind of change is joined to subjects that have their claims already, and nothing is joined above both kinds."""
+    names = [short_name(t.name) for t in history.LOG_TABLES]
+    text = plan(history.workflow_history_of_logs(logs(spark, sf, names), "none"), capsys)
+    assert text.index("Union") < text.index("Join")
