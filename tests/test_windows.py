@@ -191,3 +191,12 @@ def test_latest_and_count(spark):
 def test_fingerprint_passes_over_nested_maps(spark):
     df = spark.sql("SELECT 1 AS k, TIMESTAMP '2024-01-01 00:00:00' AS _timestamp, array(map('a', 1)) AS m, named_struct('x', map('b', 2)) AS s")
     assert latest_per_key(df, ["k"]).count() == 1
+
+
+def test_latest_and_count_keeps_some_columns(spark, capsys):
+    """Ties fall as with all columns, and a join on the keys moves the rows no further."""
+    df = spark.createDataFrame([(i % 3, i % 2, i, str(i)) for i in range(30)], "k int, t int, i int, s string")
+    some = latest_and_count(df, ["k"], ["t desc"], "n", ["k", "s"])
+    assert rows(some) == rows(latest_and_count(df, ["k"], ["t desc"], "n").select("k", "s", "n"))
+    joined = some.join(df.select(F.col("k").alias("j")).distinct().hint("merge"), F.col("k") == F.col("j"))
+    assert plan(joined, capsys).count("Exchange hashpartitioning") == 2
