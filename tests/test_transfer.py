@@ -137,3 +137,14 @@ def test_scratch_folder_follows_the_session():
     first, second = (scratch_dir(session_with("/shared/x/"), "a") for _ in range(2))
     assert first.startswith("/shared/x/a-") and first != second
     assert scratch_dir(session_with(None), "b").startswith("hdfs://shared/warehouse/scratch/b-")
+
+
+@pytest.mark.parametrize("warehouse", ["hdfs://shared/warehouse", "file:/tmp/warehouse", "/tmp/warehouse"])
+def test_scratch_folder_of_a_cluster_is_in_a_store(warehouse):
+    known = {"spark.master": "yarn", "spark.sql.warehouse.dir": warehouse}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: known.get(key, default)))
+    if warehouse.startswith("hdfs"):
+        assert scratch_dir(session, "c").startswith("hdfs://shared/warehouse/scratch/c-")
+    else:
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch_dir(session, "c")
