@@ -10,9 +10,10 @@ of two linked sets are equal. A signature is the content of one part. That gives
 * a set whose empty parts and shared signatures are t at most together has no link in this instance, and its signatures
   go. Passages that many documents share do not bring them together.
 
-Equal sets are one node. A batch sends its signatures packed by ranges. Each group of sets that share a signature is
-compared with its leader first, the set that shares most with others, such as the source of many near copies. Where linked
-sets become one component, no more comparisons are made. What is left open, sets of one group in different components, is
+Equal sets are one node. A batch sends its signatures packed by ranges. Each group of sets that share a signature has a
+leader, the set that shares most with others, such as the source of many near copies. A set is first compared with LEADERS
+leaders, those that it has the most groups with. Where linked sets become one component, no more comparisons are made. What
+is left open, sets of one group in different components, is
 compared in blocks: sets with one leader are dealt to blocks of about BLOCK sets, blocks that meet in an open group are
 compared as a whole, and of the links between two components one is kept. Pairs of sets are no rows anywhere.
 """
@@ -24,7 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablejobs.llm import flat, packed
@@ -32,9 +33,16 @@ from tablejobs.llm.links import components, kept
 
 SHINGLE = 5
 PERCENT = 80
+# Leaders that a set is compared with. The result does not depend on it.
+LEADERS = 2
 # Sets in a block of the comparisons that are open after the leaders'. The result does not depend on it.
 BLOCK = 512
 _STEP = 64
+# Cells of the space of shingles in which they are counted to put rare ones first: 16 MB. The result does not depend on it.
+CELL_BITS = 24
+_SLICE_BITS = CELL_BITS - 6
+# Pairs of sets with a common shingle that are looked at together. The result does not depend on it.
+PAIRS = 1 << 20
 # Features counted at once in these comparisons: about 75 MB. The result does not depend on it.
 STRIP = 1 << 15
 _LARGEST = 1 << 31
@@ -158,10 +166,8 @@ def shingle_sets(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
     return frame.mapInArrow(step, "__id long, n_shingles long, key long")
 
 
-def _groups(docs: DataFrame, text: str, width: int, bands: Bands) -> DataFrame:
+def _groups(docs: DataFrame, text: str, width: int, bands: Bands, ranges: int) -> DataFrame:
     """(sig, key, weight) of all sets that share enough signatures; the weight tells how much a set shares with others."""
-    # A range has the signatures of about 16 MB of text, some three million, whatever the input is.
-    ranges = max(packed.number_of_batches(docs, text) // 2, 4 * docs.sparkSession.sparkContext.defaultParallelism)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list = []
@@ -321,20 +327,152 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(step, "a long, b long")
 
 
-def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How many shingles of the sets lie in each cell, in steps of an eighth of a doubling. 0 stands for one at most."""
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list = []
+        for piece, _, _ in flat.pieces(batches, "hashes"):
+            waiting += [packed.unpack_sorted(x) >> np.uint64(64 - CELL_BITS) for x in piece.column("hashes").to_pylist()]
+            if sum(map(len, waiting)) > 2_000_000:
+                yield sent(waiting)
+                waiting = []
+        if waiting:
+            yield sent(waiting)
+
+    def sent(waiting: list) -> pa.RecordBatch:
+        cells = np.sort(np.concatenate(waiting))
+        slices = np.arange(1 << (CELL_BITS - _SLICE_BITS))
+        bounds = [*np.searchsorted(cells, slices.astype(np.uint64) << np.uint64(_SLICE_BITS)), len(cells)]
+        parts = [packed.pack_sorted(cells[bounds[i] : bounds[i + 1]]) for i in slices]
+        return pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(parts, pa.binary())], ["slice", "cells"])
+
+    def count(table: pa.Table) -> pa.Table:
+        slice_ = table.column("slice")[0].as_py()
+        total = np.zeros(1 << _SLICE_BITS, np.int64)
+        for part in table.column("cells").to_pylist():
+            inside = packed.unpack_sorted(part).astype(np.int64) - (slice_ << _SLICE_BITS)
+            total += np.bincount(inside, minlength=len(total))
+        steps = np.minimum(np.round(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
+        return pa.table([pa.array([slice_], pa.int32()), pa.array([steps.tobytes()], pa.binary())], ["slice", "steps"])
+
+    found = sets.select("hashes").mapInArrow(send, "slice int, cells binary")
+    found = found.groupBy("slice").applyInArrow(count, "slice int, steps binary").toArrow()
+    out = np.zeros((1 << (CELL_BITS - _SLICE_BITS), 1 << _SLICE_BITS), np.uint8)
+    for slice_, steps in zip(found.column("slice").to_pylist(), found.column("steps").to_pylist()):
+        out[slice_] = np.frombuffer(steps, np.uint8)
+    return out.reshape(-1)
+
+
+def _expanded(begin: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each i with begin[i] .. begin[i] + n[i] - 1, about PAIRS pairs at a time."""
+    own = np.flatnonzero(n)
+    begin, n = begin[own], n[own]
+    ends, low = np.cumsum(n), 0
+    while low < len(n):
+        done = ends[low] - n[low]
+        high = max(int(np.searchsorted(ends, done + PAIRS, "right")), low + 1)
+        part = n[low:high]
+        step = np.arange(ends[high - 1] - done) - np.repeat(ends[low:high] - part - done, part)
+        yield np.repeat(own[low:high], part), np.repeat(begin[low:high], part) + step
+        low = high
+
+
+def _meeting(table: pa.Table, percent: int) -> pa.Table:
+    """Pairs (a, b) of sets with a common shingle at places that leave enough of both, and with different labels."""
+    token, key, label, size, place = (table.column(c).to_numpy() for c in ("token", "key", "label", "size", "place"))
+    groups = packed.Groups(token.view(np.uint64))
+    apart = groups.spread(groups.reduce(np.minimum, label) != groups.reduce(np.maximum, label))
+    token, key, label, size, place = (x[apart] for x in (token, key, label, size, place))
+    size, place = size.astype(np.int64), place.astype(np.int64)
+    found = [np.zeros((2, 0), np.int64)]
+    if len(token):
+        group = np.unique(token, return_inverse=True)[1].astype(np.int64) << 32
+        label = np.unique(label, return_inverse=True)[1]
+        # Either the sets that are larger, up to the largest that can be similar; or those of labels further on.
+        by_size, by_label = np.lexsort((size, group)), np.lexsort((label, group))
+        most = np.clip((100 + percent) * (size - place) // percent - size, 0, _LARGEST)
+        ranked = (group + size)[by_size]
+        after = np.arange(1, len(ranked) + 1)
+        larger = np.maximum(np.searchsorted(ranked, (group + most)[by_size], "right") - after, 0)
+        ranked = (group + label)[by_label]
+        other = np.searchsorted(ranked, ranked, "right")
+        further = np.searchsorted(group[by_label], group[by_label], "right") - other
+        group >>= 32
+        fewer = np.bincount(group[by_size], larger) <= np.bincount(group[by_label], further)
+        for order, begin, n, use in ((by_size, after, larger, fewer), (by_label, other, further, ~fewer)):
+            for x, y in _expanded(begin, np.where(use[group[order]], n, 0)):
+                x, y = order[x], order[y]
+                least = -(-percent * (size[x] + size[y]) // (100 + percent))
+                fits = (label[x] != label[y]) & (size[x] - place[x] >= least) & (size[y] - place[y] >= least)
+                x, y = key[x[fits]], key[y[fits]]
+                found.append(np.unique([np.minimum(x, y), np.maximum(x, y)], axis=1))
+    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    flat.release()
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _candidates(sets: DataFrame, bands: Bands, ranges: int) -> DataFrame:
+    """Pairs (a, b) of sets (key, label, hashes) that have different labels and may be similar enough.
+
+    All shingles are put in one order. Two sets share no more than what each has from their first common shingle on. So the
+    first shingles of each set find all pairs, and few others if rare shingles come first: a set of many shingles of its own
+    has only these in front.
+    """
+    rarity = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = rarity.value
+        for piece, _, _ in flat.pieces(batches, "hashes"):
+            hashes = [packed.unpack_sorted(x) for x in piece.column("hashes").to_pylist()]
+            size = np.array([len(x) for x in hashes])
+            h, own = np.concatenate(hashes), np.repeat(np.arange(len(size)), size)
+            rare = steps[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+            order = np.lexsort((h, rare, own))
+            place = np.arange(len(h)) - (np.cumsum(size) - size)[own]
+            # A shingle alone in its cell is in no other set.
+            use = (place < bands.prefix(size)[own]) & (rare[order] > 0)
+            token, own = h[order[use]], own[use]
+            columns = [
+                pa.array(((token >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)),
+                pa.array(token.view(np.int64)),
+                piece.column("key").take(pa.array(own)),
+                piece.column("label").take(pa.array(own)),
+                pa.array(size[own].astype(np.int32)),
+                pa.array(place[use].astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["range", "token", "key", "label", "size", "place"])
+
+    kinds = "range int, token long, key long, label long, size int, place int"
+    sent = sets.select("key", "label", "hashes").mapInArrow(send, kinds).repartition(ranges, "range")
+    return sent.groupBy("range").applyInArrow(lambda table: _meeting(table, bands.percent), "a long, b long").distinct()
+
+
+def _with_leaders(led: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each set and those leaders of its groups (sig, key, top) that it has the most groups with."""
+    shared = led.filter("top.key <> key").groupBy("key", F.col("top.key").alias("leader")).agg(F.count(F.lit(1)).alias("n"))
+    most = Window.partitionBy("key").orderBy(F.desc("n"), "leader")
+    chosen = shared.withColumn("at", F.row_number().over(most)).filter(F.col("at") <= LEADERS)
+    return chosen.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")).distinct()
+
+
+def _open_links(led: DataFrame, labels: DataFrame, sets: DataFrame, bands: Bands, ranges: int) -> DataFrame:
     """Links (a, b) between sets of one group (sig, key, its leader `top`) that are in different components so far."""
-    rest = pairs.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
+    rest = led.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
     rest = rest.select("sig", "top", "key", F.coalesce("label", "key").alias("label"))
     apart = rest.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
-    rest = kept(rest.join(apart, "sig"), "open")
-    homes = rest.groupBy("key").agg(F.max("top")["key"].alias("home"), F.min("label").alias("label"))
+    homes = rest.join(apart, "sig").groupBy("key").agg(F.max("top")["key"].alias("home"), F.min("label").alias("label"))
+    left_open = kept(homes.join(sets, "key"), "open")
+    # A common shingle is in one range with others; more ranges spread them.
+    may = kept(_candidates(left_open, bands, 4 * ranges), "candidates")
+    ends = may.select(F.col("a").alias("key")).union(may.select(F.col("b").alias("key"))).distinct()
+    homes = left_open.join(ends, "key", "left_semi")
     sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    homes = homes.join(sizes, "home").select("key", "label", F.xxhash64("home", F.pmod(F.xxhash64("key"), "blocks")).alias("block"))
-    homes = kept(homes, "homes")
-    meet = rest.join(homes.select("key", "block"), "key").select("sig", "block").distinct()
-    both = meet.alias("m").join(meet.withColumnRenamed("block", "other"), "sig").filter("block <= other")
-    both = both.select("block", "other").distinct()
-    members = homes.join(sets, "key")
+    block = F.xxhash64("home", F.pmod(F.xxhash64("key"), "blocks")).alias("block")
+    members = kept(homes.join(sizes, "home").select("key", "label", block, "hashes"), "homes")
+    one = members.select(F.col("key").alias("a"), F.col("block").alias("x"))
+    two = members.select(F.col("key").alias("b"), F.col("block").alias("y"))
+    both = may.join(one, "a").join(two, "b").select(F.least("x", "y").alias("block"), F.greatest("x", "y").alias("other")).distinct()
     left = both.join(members, "block").select(*[F.col(c).alias(c) for c in ("block", "other", "key", "label", "hashes")])
     # Another projection, so that both sides have columns of their own.
     second = members.select(*[F.col(c).alias(f"_{c}") for c in ("block", "key", "label", "hashes")])
@@ -354,7 +492,7 @@ def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
                 part = a[low : low + _STEP]
                 both_ = _in_common(part, b)
                 total = np.array([len(v) for v in part])[:, None] + size_b - both_
-                for i, j in zip(*np.nonzero(100 * both_ >= percent * total)):
+                for i, j in zip(*np.nonzero(100 * both_ >= bands.percent * total)):
                     ends = tuple(sorted((x[low + i]["label"], y[j]["label"])))
                     if ends[0] != ends[1]:
                         first.setdefault(ends, (x[low + i]["key"], y[j]["key"]))
@@ -396,16 +534,16 @@ def similar_documents(
     """
     bands = Bands(percent)
     names = kept(shingle_sets(docs, id, text, width), "sets")
-    groups = _groups(docs, text, width, bands)
+    # A range has the signatures of about 16 MB of text, some three million, whatever the input is.
+    ranges = max(packed.number_of_batches(docs, text) // 2, 4 * docs.sparkSession.sparkContext.defaultParallelism)
+    groups = _groups(docs, text, width, bands, ranges)
     leaders = groups.groupBy("sig").agg(F.max(F.struct("weight", "key")).alias("top"))
     # The leader's own rows are in it too.
     led = kept(groups.drop("weight").join(leaders, "sig").select("sig", "key", "top"), "groups")
     sets = kept(_sets_of(docs, led.select("key").distinct(), text, width), "hashes")
-    pairs = led.filter("top.key <> key")
-    ordered = pairs.select(F.least("top.key", "key").alias("a"), F.greatest("top.key", "key").alias("b")).distinct()
-    links = kept(_linked(ordered, sets, percent), "links")
+    links = kept(_linked(_with_leaders(led), sets, percent), "links")
     labels = components(links)
-    more = kept(_open_links(pairs, labels, sets, percent), "links")
+    more = kept(_open_links(led, labels, sets, bands, ranges), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
     nodes = names.groupBy("key").agg(F.min("__id").alias("low")).filter("key is not null")
