@@ -4,6 +4,7 @@ import random
 import time
 from pathlib import Path
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,14 @@ def test_alike_but_not_similar_sets_are_not_compared_in_blocks(spark, written):
     assert written["homes"].count() < 20
 
 
+def test_stage_of_the_pipeline_keeps_alike_documents(spark, written):
+    docs = families(2, 30, 6)
+    docs += [(1000 + d, t) for d, t in docs[:3]]
+    got = corpus_pipeline.first_of_similar(spark, spark.createDataFrame(docs, SCHEMA), "")
+    assert sorted(tuple(r) for r in got.collect()) == docs[:150]
+    assert written["homes"].count() < 20
+
+
 @pytest.mark.parametrize("leaders", [0, 1, 3])
 def test_leaders_do_not_change_the_result(spark, leaders, monkeypatch):
     monkeypatch.setattr(jaccard, "LEADERS", leaders)
